@@ -29,31 +29,27 @@ def next_value(df: DataFrame, key: str, order: str, value: str, bucket: Column,
     """The next row's ``value`` within ``key``, ordered by ``order`` and then ``value``, nulls last.
 
     ``bucket`` is a non-decreasing function of ``order`` (a prefix of a text, a floor of a number). Rows are
-    sorted per key and bucket; only the head of each bucket, one row, takes part in the second window, which
-    hands it back to the last row of the bucket before. So a key that holds a third of all rows is spread
-    over as many tasks as it has buckets.
+    ordered per key and bucket, so a key that holds a third of all rows is spread over as many tasks as it has
+    buckets. What the last row of a bucket still needs is the first row of the next one: a second window, over
+    the first and last row of each bucket, hands it over.
     """
-    rank = lambda name: F.struct(F.col(name).isNull(), F.col(name))  # noqa: E731  nulls last
-    rows = df.withColumn("__bucket", bucket)
-    within = Window.partitionBy(key, "__bucket").orderBy(F.col(order).asc_nulls_last(), F.col(value).asc_nulls_last())
+    by_order = [F.col(order).asc_nulls_last(), F.col(value).asc_nulls_last()]
+    within = Window.partitionBy(key, "__bucket").orderBy(*by_order)
     # Wrapped in a struct, the absence of a next row differs from a next row whose value is null.
-    rows = rows.withColumn("__next", F.lead(F.struct(F.col(value))).over(within))
-
-    heads = (
+    rows = (
         df.withColumn("__bucket", bucket)
-        .groupBy(key, "__bucket")
-        .agg(F.min(F.struct(rank(order).alias("o"), rank(value).alias("v"), F.col(value).alias("x"))).alias("__head"))
-    )
-    across = Window.partitionBy(key).orderBy(F.col("__bucket").asc_nulls_last())
-    heads = heads.select(
-        F.col(key).alias("__k"), F.col("__bucket").alias("__b"),
-        F.struct(F.lead("__head.x").over(across).alias(value)).alias("__handed"),
+        .withColumn("__next", F.lead(F.struct(F.col(value).alias("value"))).over(within))
+        .withColumn("__rn", F.row_number().over(within))
     )
-    same = F.col(key).eqNullSafe(F.col("__k")) & F.col("__bucket").eqNullSafe(F.col("__b"))
-    joined = rows.join(heads, same, "left")
-    return joined.select(
-        *df.columns, F.coalesce(F.col("__next"), F.col("__handed")).getField(value).alias(into)
+    last = F.col("__next").isNull()
+    across = Window.partitionBy(key).orderBy(F.col("__bucket").asc_nulls_last(), "__rn")
+    handed = (
+        rows.where(last | (F.col("__rn") == 1))
+        .withColumn(into, F.lead(value).over(across))
+        .where(last)
+        .select(*df.columns, into)
     )
+    return rows.where(~last).select(*df.columns, F.col("__next.value").alias(into)).union(handed)
 
 
 def running_count_at_key(

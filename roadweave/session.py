@@ -27,6 +27,7 @@ def build_session(cpus: int | str = 8, app: str = "roadweave", **conf: str) -> S
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
