@@ -69,8 +69,13 @@ def plain_forms(t: Inputs) -> dict[str, Callable[[], DataFrame]]:
         return rows.join(other, F.expr(f"smpl_id = o_smpl_id and ({differs})")).select("smpl_id").distinct()
 
     def pivot_by_pivot() -> DataFrame:
-        keys = ["smpl_id", "smpl_tst_nbr"]
-        return t["t_tst_rslt_dtl"].groupBy(*keys).pivot("tst_fld_sn", list(lab.MEASURES)).agg(F.max("tst_strg_fld_val"))
+        method = F.col("tst_meth") == lab.METHOD
+        wide = (
+            t["t_tst_rslt_dtl"].where(method & F.col("tst_fld_sn").isin(*lab.CODES))
+            .groupBy("smpl_id", "smpl_tst_nbr").pivot("tst_fld_sn", list(lab.MEASURES)).agg(F.max("tst_strg_fld_val"))
+        )
+        known = t["t_smpl"].join(t["t_matl"], "matl_cd", "left_semi").distinct()
+        return wide.join(t["t_smpl_tst"].where(method), ["smpl_id", "smpl_tst_nbr"], "left_semi").join(known, "smpl_id")
 
     def rollup_by_self_join() -> DataFrame:
         homes = t["nursing_homes"]

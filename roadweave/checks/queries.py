@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadweave import operators as ops
@@ -180,6 +180,21 @@ def _datasets(t: Inputs, vans: tuple[int, ...]) -> DataFrame:
     return corridors.final_dataset(t["sec_segments"].distinct(), t["forest"], vans)
 
 
+@query
+def delivery_order(t: Inputs) -> DataFrame:
+    """O1, O2: the place of each (direction, lane, begin mile) in its corridor, as order itself can't be compared
+
+    Equal rows are counted before they are ordered.
+    """
+    place = ["van_no", "secfile_name", "corridor_code_rb"]
+    counted = _datasets(t, (12174, 12175)).groupBy(*place, "dir", "lane", "begin_mi").agg(F.count("*").alias("n"))
+    handed = Window.partitionBy(*place).orderBy(
+        F.col("dir").desc_nulls_first(), F.col("lane").asc_nulls_last(), F.col("begin_mi").asc_nulls_last()
+    )
+    before = F.sum("n").over(handed.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    return counted.select(*place, "dir", "lane", "begin_mi", "n", (before + 1).alias("place"))
+
+
 @query
 def section_totals(t: Inputs) -> DataFrame:
     """C25, A2, A4, A6, E15, F4, F9, J13, P4, U1"""
@@ -419,6 +434,13 @@ def unique_index_violations(t: Inputs) -> DataFrame:
     return ops.key_violations(t["roadlog"], ["nrlg_dept_route", "nrlg_sys_desc"], allow_null=True)
 
 
+@query
+def blank_values(t: Inputs) -> DataFrame:
+    """Q5, E13"""
+    cleaned = ops.blank_to_null(t["t_tst_rslt_dtl"], ["tst_strg_fld_val"])
+    return cleaned.groupBy("tst_fld_sn").agg(F.count("tst_strg_fld_val").alias("given"), F.count("*").alias("rows"))
+
+
 @query
 def min_scalar_filter(t: Inputs) -> DataFrame:
     """F11, A7"""

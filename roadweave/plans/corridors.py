@@ -134,6 +134,19 @@ def final_dataset(
     return collected.join(forest_codes(forest, pad=pad), F.col("corridor_code") == F.col("forest_code"), "left_anti")
 
 
+def in_delivery_order(dataset: DataFrame) -> DataFrame:
+    """Rows as they are handed over: by van, section file, corridor, direction downwards, lane and begin mile (O1, O2).
+
+    For the last step before writing; pipelines never sort on the way (O3). Nulls come last, and first in the
+    descending column.
+    """
+    ascending = lambda c: F.col(c).asc_nulls_last()
+    return dataset.orderBy(
+        ascending("van_no"), ascending("secfile_name"), ascending("corridor_code_rb"),
+        F.col("dir").desc_nulls_first(), ascending("lane"), ascending("begin_mi"),
+    )
+
+
 def final_dataset_with_missing(
     enriched: DataFrame, segments: DataFrame, collected: DataFrame, forest: DataFrame, van: int = 12174
 ) -> DataFrame:

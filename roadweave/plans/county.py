@@ -191,17 +191,19 @@ def county_dimension(cases: DataFrame) -> DataFrame:
     return cases.where(F.col("fips").isNotNull()).select("fips", "county", "state").distinct()
 
 
-def facility_rollup(homes: DataFrame, corrected: bool = False) -> DataFrame:
+def facility_rollup(homes: DataFrame, corrected: bool = False, lenient: bool = False) -> DataFrame:
     """Facility measures summed per county (C14).
 
     As in the source data, every sum is multiplied by the county's number of facilities, and
     ``Total_Facilities`` is the largest rank its facilities have within a zip code (K17). ``corrected`` gives
-    plain sums and the number of facilities. The table is read once and aggregated before anything is ordered.
+    plain sums and the number of facilities. Text that is no number raises; ``lenient`` takes it as missing.
+    The table is read once and aggregated before anything is ordered.
     """
+    number = lambda c, kind: F.col(c).try_cast(kind) if lenient else F.col(c).cast(kind)
     typed = homes.select(
         "provider_zip_code", F.col("county_fips").alias("County_Fips"),
-        *(F.col(c).cast("bigint").alias(c) for c in FACILITY_COUNTS),
-        *(F.col(c).cast("double").alias(c) for c in FACILITY_RATES),
+        *(number(c, "bigint").alias(c) for c in FACILITY_COUNTS),
+        *(number(c, "double").alias(c) for c in FACILITY_RATES),
     )
     measures = [*FACILITY_COUNTS, *FACILITY_RATES]
     rolled = running_count_at_key(typed, "provider_zip_code", "County_Fips", "Total_Facilities", totals=measures)
@@ -220,15 +222,21 @@ def county_profile(
     labor_force: DataFrame,
     industry: DataFrame,
     on_zero: str = "error",
+    collation: str | None = None,
 ) -> DataFrame:
     """Totals joined with the county tables, with rates per 100,000.
 
     Counties without an income assistance figure are left out, so that join is an inner one (J16). State names
-    of the housing table carry leading blanks (J14).
+    of the housing table carry leading blanks (J14). Names match exactly; a ``collation`` such as
+    ``UTF8_LCASE`` matches them regardless of case.
     """
-    named = demographics.withColumnsRenamed({"ctyname": "county", "stname": "state"})
-    houses = housing.select("county", F.ltrim("state").alias("state"), "housingunits")
-    joined = totals.join(named, ["county", "state"]).join(houses, ["county", "state"])
+    name = lambda c: F.collate(c, collation) if collation else c
+    named = demographics.withColumnsRenamed({"ctyname": "a_county", "stname": "a_state"})
+    houses = housing.select(F.col("county").alias("h_county"), F.ltrim("state").alias("h_state"), "housingunits")
+    same = lambda side: (
+        (name(F.col("county")) == name(F.col(f"{side}_county"))) & (name(F.col("state")) == name(F.col(f"{side}_state")))
+    )
+    joined = totals.join(named, same("a")).join(houses, same("h"))
     joined = joined.join(income_assistance.where(F.col("living_with_income_assistance").isNotNull()), "fips")
     for table in (disabled, median_income, labor_force, industry):
         joined = joined.join(table, "fips", "left")

@@ -1,5 +1,5 @@
 """Reading, writing and the declared layouts of the input tables."""
 
-from roadweave.sources.tables import load, materialize, replace_table, snapshot
+from roadweave.sources.tables import define_view, load, materialize, replace_table, snapshot
 
-__all__ = ["load", "materialize", "replace_table", "snapshot"]
+__all__ = ["define_view", "load", "materialize", "replace_table", "snapshot"]

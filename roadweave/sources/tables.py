@@ -1,4 +1,4 @@
-"""Parquet tables: scan with a declared schema, write, replace, snapshot."""
+"""Parquet tables: scan with a declared schema, write, replace, snapshot, named views."""
 
 from __future__ import annotations
 
@@ -18,6 +18,12 @@ def load(spark: SparkSession, directory: str, name: str, schema: StructType | No
     return reader.parquet(f"{directory}/{name}.parquet")
 
 
+def define_view(df: DataFrame, name: str) -> DataFrame:
+    """Name a frame for SQL users (S4). The view is lazy: reading it runs the plan behind it."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 

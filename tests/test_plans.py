@@ -183,6 +183,13 @@ def test_add_back_missing_corridors(frame):
     assert rows(got.select("corridor_code_rb", "van_no", "tis_begmi")) == [("A", 12174, 1.0), ("B", 12174, None), ("B", 12175, None)]
 
 
+def test_delivery_order(frame):
+    row = lambda dir, lane, mi: {"van_no": 1, "secfile_name": "X", "corridor_code_rb": "A", "dir": dir, "lane": lane, "begin_mi": mi}
+    segs = _segments(frame, [row("D", 1, 5.0), row("I", 1, 2.0), row(None, 1, 1.0), row("I", 1, None), row("I", None, 0.0), row("D", 1, 3.0)])
+    got = [(r.dir, r.lane, r.begin_mi) for r in corridors.in_delivery_order(segs).collect()]
+    assert got == [(None, 1, 1.0), ("I", 1, 2.0), ("I", 1, None), ("I", None, 0.0), ("D", 1, 3.0), ("D", 1, 5.0)]
+
+
 def test_section_totals(frame):
     row = lambda sec, dir, length, van=12174, lane=1: {
         "secfile_name": sec, "dir": dir, "lane": lane, "begin_mi": 0.0, "end_mi": length, "corridor_code": "C", "van_no": van
@@ -317,6 +324,26 @@ def test_facility_rollup_literal_and_corrected(frame):
     assert rows(county.facility_rollup(homes, corrected=True).select(*shown)) == [(1, 2, 30, 30.0), (3, 2, 12, 12.0)]
 
 
+def test_facility_text_that_is_no_number(frame):
+    homes = frame("county_fips int, provider_zip_code string, beds string", [(1, "Z1", "10"), (1, "Z1", "n/a")])
+    for c in county.FACILITY_COUNTS + county.FACILITY_RATES:
+        homes = homes.withColumn(c, F.col("beds"))
+    assert county.facility_rollup(homes, corrected=True, lenient=True).first().Number_of_All_Beds == 10
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        county.facility_rollup(homes).collect()
+
+
+def test_county_names_may_differ_in_case(frame):
+    totals = frame("fips bigint, county string, state string, max_cases bigint, max_deaths bigint", [(1, "Lake", "MT", 5, 1)])
+    demo = frame("ctyname string, stname string, tot_pop bigint, tot_male bigint, tot_female bigint", [("LAKE", "Mt", 10, 1, 2)])
+    housing = frame("county string, state string, housingunits bigint", [("lake", " mt", 3)])
+    income = frame("fips bigint, living_with_income_assistance bigint", [(1, 7)])
+    none = [frame(f"fips bigint, {c} double", []) for c in ("d", "median_income_2_earners", "in_labor_force", "s")]
+    run = lambda **kw: county.county_profile(totals, demo, housing, income, *none, **kw)
+    assert run().count() == 0
+    assert rows(run(collation="UTF8_LCASE").select("county", "state", "housingunits")) == [("Lake", "MT", 3)]
+
+
 def test_county_profile_needs_an_income_figure(frame):
     totals = frame("fips bigint, county string, state string, max_cases bigint, max_deaths bigint", [(i, c, "S", 5, 1) for i, c in [(1, "A"), (2, "B"), (3, "C")]])
     demo = frame("ctyname string, stname string, tot_pop bigint, tot_male bigint, tot_female bigint", [(c, "S", 3000, 1, 2) for c in "ABC"])

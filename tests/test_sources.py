@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from roadweave.sources import load, materialize, replace_table, snapshot
+from roadweave.sources import define_view, load, materialize, replace_table, snapshot
 from roadweave.sources import schemas
 from roadweave.sources.derived import DERIVED, Inputs, as_ctes, reads
 from roadweave.sources.tables import shared_folder
@@ -48,6 +48,11 @@ def test_partitioned_table_keeps_column_order(spark, tmp_path):
     assert table.columns == ["van_no", "v"] and rows(table.where("van_no = 12175")) == [(12175, 2)]
 
 
+def test_a_view_is_lazy_and_usable_from_sql(spark):
+    define_view(spark.range(10).where("id > 3"), "large_ids")
+    assert spark.sql("select sum(id) as s from large_ids where id < 6").first().s == 9
+
+
 def test_replace_table(spark, tmp_path):
     path = f"{tmp_path}/t"
     materialize(spark.range(3), path)
