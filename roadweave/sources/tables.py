@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -25,16 +24,9 @@ def define_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``.
-
-    A local session without the setting gets a temporary folder; a cluster session without it is an error.
-    """
+    """The folder all executors see: ``spark.checkpoint.dir``, or a folder in the warehouse where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set, so there is no shared folder to write to")
-    return tempfile.mkdtemp(prefix="roadweave-")
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/roadweave"
 
 
 def materialize(

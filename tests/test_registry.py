@@ -11,12 +11,14 @@ from conftest import rows
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as driver  # noqa: E402
+from roadweave.checks import oracle  # noqa: E402
+from roadweave.checks.queries import registered  # noqa: E402
 
 SMALL = Path("/root/testdata/sf0.001")
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not SMALL.exists(), reason="test tables are not here")
 
-QUERIES, STATEMENTS = driver.queries(), driver.oracle_sql()
+QUERIES, STATEMENTS = registered(), oracle.sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
@@ -30,6 +32,7 @@ def duck():
 
 def test_names_agree():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(driver.queries()) and set(STATEMENTS) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -34,12 +33,11 @@ def test_materialize_uses_the_folder_of_the_session(spark, shared):
     assert table.count() == 3 and shared in table.inputFiles()[0]
 
 
-def test_a_cluster_session_must_name_its_folder():
-    conf = SimpleNamespace(get=lambda key, default: default)
-    on = lambda master: SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(on("yarn"))
-    assert Path(shared_folder(on("local[2]"))).is_dir()
+def test_the_shared_folder_is_the_setting_or_in_the_warehouse():
+    session = lambda **conf: SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+    warehouse = {"spark.sql.warehouse.dir": "hdfs://store/warehouse"}
+    assert shared_folder(session(**warehouse)) == "hdfs://store/warehouse/roadweave"
+    assert shared_folder(session(**warehouse, **{"spark.checkpoint.dir": "hdfs://store/shared/"})) == "hdfs://store/shared"
 
 
 def test_partitioned_table_keeps_column_order(spark, tmp_path):
