@@ -7,16 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadweave.llm.bitplanes import read_files, write_files
 from roadweave.llm.bpe import decode, encode, ids_digest
-from roadweave.llm.common import documents, vocabulary
+from roadweave.llm.common import documents, pages, vocabulary
 from roadweave.llm.curriculum import mixed
 from roadweave.llm.exact_dedup import exact_duplicates
+from roadweave.llm.html_text import extract
+from roadweave.llm.language import predict, train
 from roadweave.llm.near_dedup import near_duplicates
+from roadweave.llm.pseudonyms import pseudonymised
 from roadweave.llm.quality import judged
 from roadweave.llm.sharding import sharded
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+END_ID = 2
 
 
 def query(fn: Query) -> Query:
@@ -67,3 +72,29 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, by an LSH forest."""
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal numbers, dates and addresses replaced by format-preserving pseudonyms."""
+    return pseudonymised(documents(spark, sf_dir))
+
+
+@query
+def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages, by line-block distribution."""
+    return extract(pages(spark, sf_dir))
+
+
+@query
+def op8_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written as compressed bit planes and read back."""
+    files = write_files(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), END_ID)
+    return read_files(files)
+
+
+@query
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, by code lengths of context trees trained on a bounded sample."""
+    docs = documents(spark, sf_dir)
+    return predict(docs, train(docs))
