@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadweave.llm.bpe import encode
-from roadweave.llm.common import documents, vocabulary
+from roadweave.llm.common import documents, vocabulary, with_workers
 from roadweave.llm.curriculum import training_order
 from roadweave.llm.exact_dedup import without_duplicates
 from roadweave.llm.near_dedup import one_of_each
@@ -28,11 +28,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, the one with the smallest doc_id."""
+    with_workers(spark)
     return without_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    with_workers(spark)
     return one_of_each(docs)
 
 
@@ -43,6 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, ends: the token ids of each document, and where in its bytes each token ends."""
+    with_workers(spark)
     return encode(docs, vocabulary("byte_bpe_50k.tiktoken"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from roadweave.llm.bpe import runs
 from roadweave.llm.common import text_of
-from roadweave.llm.pretokens import pieces
+from roadweave.llm.pretokens import known, pieces
 from roadweave.sources.tables import materialize
 
 MAGIC = b"BPL1"
@@ -106,20 +106,29 @@ def _library(path: str):
     return tokenizer
 
 
+def plain(text: str) -> bool:
+    """Every code point is one that all Unicode tables at hand class alike."""
+    return text.isascii() or bool(known()[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].all())
+
+
 class LibraryCache(dict):
     """Ids of a pre-token as the library encodes it; emptied when full.
 
     The library splits texts by the same pattern before it merges, so a pre-token's ids don't depend on the rest.
+    Texts with code points that its Unicode tables may class differently are encoded as wholes.
     """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self.tokenizer = _library(path)
 
+    def whole(self, text: str) -> list[int]:
+        return list(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
     def __missing__(self, piece: bytes) -> tuple[int, ...]:
         if len(self) >= CACHE:
             self.clear()
-        ids = tuple(self.tokenizer.encode(piece.decode("utf-8"), add_special_tokens=False).ids)
+        ids = tuple(self.whole(piece.decode("utf-8")))
         if len(piece) <= 64:
             self[piece] = ids
         return ids
@@ -148,8 +157,8 @@ def _writer(path: str, end_id: int, chunk_ids: int, file_ids: int):
                 parts, counts = pieces(run)
                 found = list(map(cache.__getitem__, parts))
                 start = 0
-                for count in counts.tolist():
-                    own = [k for ids_ in found[start : start + count] for k in ids_]
+                for text, count in zip(run, counts.tolist()):
+                    own = [k for ids_ in found[start : start + count] for k in ids_] if plain(text) else cache.whole(text)
                     own.append(end_id)
                     start += count
                     names.append(ids[at])

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +17,29 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def with_workers(spark: SparkSession) -> SparkSession:
+    """The session, once its Python workers can import this package wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="roadweave-")) / "roadweave.zip"  # Spark hands it to the executors
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents")
+    return load(with_workers(spark), sf_dir, "documents")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "pages")
+    return load(with_workers(spark), sf_dir, "pages")
 
 
 def text_of(column: str = "text") -> Column:

@@ -24,7 +24,7 @@ SCHEDULES: tuple[Schedule, ...] = (
     ((0.0, 2.0), (0.5, 1.0), (1.0, 0.0)),
 )
 MOST = 3
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1 << 12
 
 
 def integral(schedule: Schedule) -> float:

@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import hashlib
+from fractions import Fraction
+
+import pytest
+from edges import TEXTS, by, edge_documents, no_documents, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from roadweave.llm import curriculum
+
+
+def reshared(sizes: dict, most: int = 3) -> dict:
+    """Targets by resharing what is above the cap until nothing is."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    full: set = set()
+    while True:
+        rest = sum(sizes.values()) - sum(most * sizes[s] for s in full)
+        open_ = [s for s in names if s not in full]
+        total = sum(weight[s] for s in open_)
+        goal = {s: Fraction(rest * weight[s], total) for s in open_} if open_ else {}
+        over = [s for s in open_ if goal[s] > most * sizes[s]]
+        if not over:
+            return {s: Fraction(most * sizes[s]) if s in full else goal[s] for s in names}
+        full.update(over)
+
+
+def check(rows, docs):
+    sizes: dict = {}
+    for _, text, _, source in docs:
+        sizes[source] = sizes.get(source, 0) + len(words(text))
+    goal = reshared(sizes)
+    assert len(rows) == len(docs)
+    taken: dict = {}
+    for r in rows:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(float(goal[r["source"]]))
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    for source, target in goal.items():
+        assert abs(taken[source] - target) <= Fraction(1, 2)
+
+
+def test_edges(spark):
+    rows = by(curriculum.mixed(edge_documents(spark)), "doc_id", "size")
+    check(rows, TEXTS)
+    assert {r["size"] for r in rows if r["doc_id"] in (3, 4, 5)} == {0}
+
+
+def test_empty_table(spark):
+    assert curriculum.mixed(no_documents(spark)).collect() == []
+    assert curriculum.training_order(no_documents(spark)).collect() == []
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=9))
+def test_targets_of_any_sizes(spark, sizes):
+    docs = [(100 * s + k, "w " * k, None, f"s{s}") for s, n in enumerate(sizes) for k in (n, n // 2, 1)]
+    check(by(curriculum.mixed(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")), "doc_id"), docs)
+
+
+def test_order_within_a_source_and_position(spark, monkeypatch):
+    monkeypatch.setattr(curriculum, "BUCKET_ROWS", 7)  # several buckets
+    docs = [(i, "w " * (i % 11 + 1), None, "abc"[i % 3]) for i in range(300)]
+    rows = by(curriculum.mixed(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")), "doc_id")
+    check(rows, docs)
+    for source in "abc":
+        own = sorted((r for r in rows if r["source"] == source), key=lambda r: hashlib.md5(str(r["doc_id"]).encode()).hexdigest())
+        before = 0
+        for r in own:
+            assert r["before"] == before
+            before += r["size"]
+        times = [r["position"] for r in own if r["position"] is not None]
+        assert times == sorted(times) and times[0] == 0 and times[-1] < 1
+
+
+def test_reruns_agree(spark):
+    first, again = (by(curriculum.mixed(edge_documents(spark)), "doc_id", "size", "source") for _ in range(2))
+    assert first == again
+
+
+def test_inverse_of_the_integral(spark):
+    for schedule in (*curriculum.SCHEDULES, ((0.0, 0.0), (0.25, 4.0), (1.0, 1.0))):
+        whole = curriculum.integral(schedule)
+
+        def upto(t):
+            done = 0.0
+            for (t0, w0), (t1, w1) in zip(schedule, schedule[1:]):
+                dt = min(max(t - t0, 0), t1 - t0)
+                done += dt * (2 * w0 + (w1 - w0) / (t1 - t0) * dt) / 2
+            return done
+
+        shares = [i / 64 for i in range(65)]
+        frame = spark.createDataFrame([(s,) for s in shares], "s double")
+        for s, t in frame.select("s", curriculum.inverse(schedule, F.col("s"))).collect():
+            assert upto(t) == pytest.approx(s * whole, abs=1e-9)
+
+
+def test_stage_repeats_documents_in_order(spark):
+    docs = [(i, f"doc {i} " + "w " * 8, None, "abc"[i % 3] if i < 300 else "d") for i in range(330)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").withColumn("position", F.lit("mine"))
+    plan = {r["doc_id"]: r for r in by(curriculum.mixed(frame, whole=True), "doc_id")}
+    out = curriculum.training_order(frame)
+    assert out.schema == frame.schema
+    ids = [r.doc_id for r in out.collect()]
+    assert {i: ids.count(i) for i in plan if ids.count(i)} == {i: r["copies"] for i, r in plan.items() if r["copies"]}
+    first = [plan[i]["position"] for i in dict.fromkeys(ids)]
+    assert first == sorted(first)
+    edge = edge_documents(spark)
+    assert curriculum.training_order(edge).schema == edge.schema
+
+
+def test_no_python_in_the_plan(spark):
+    plan = curriculum.mixed(edge_documents(spark))._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
