@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import pytest
+from edges import by
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from roadweave.llm import html_text
+
+ARTICLE = [f"This is paragraph {i} of the article, and it has enough words in it to be told from what is around it." for i in range(6)]
+
+
+def page(body: str, head: str = "<title>T</title><script>var a='<p>no</p>';</script><style>p{}</style>") -> str:
+    return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
+
+
+def paragraphs(texts=ARTICLE):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+NAV = '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News of the day</a></li></ul></nav>'
+FOOT = "<footer>&copy; 2024 somebody, all rights reserved, and more such words as footers have in them</footer>"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"{NAV}<article><h1>Head</h1>{{}}</article>{FOOT}",
+        f"{NAV}<main><h1>Head</h1>{{}}</main><aside><p>{ARTICLE[0]}</p></aside>{FOOT}",
+        f"{NAV}<div class='content'><h1>Head</h1>{{}}</div><div class='sidebar'><p>{ARTICLE[1]}</p></div>{FOOT}",
+        f"<div id='cookie-notice'><p>{ARTICLE[2]}</p></div>{NAV}<article><h1>Head</h1>{{}}<div class='ad'>{ARTICLE[3]}</div></article>",
+        f"<header><h2>Site</h2></header><article><h1>Head</h1>{{}}<form><p>{ARTICLE[0]}</p><input name=a></form></article>",
+        f"<article><h1>Head</h1>{{}}<section class='comments'><p>{ARTICLE[0]}</p></section></article>{FOOT}",
+        f"<!-- <p>{ARTICLE[0]}</p> --><article><h1>Head</h1>{{}}<script>if (a < b) x('</p>')</script></article>",
+        "<table><tr><td><a href=/1>One</a></td><td><a href=/2>Two</a></td></tr></table><div><h1>Head</h1>{}</div>" + FOOT,
+    ],
+)
+def test_main_text_of_templates(body):
+    assert html_text.main_text(page(body.format(paragraphs()))) == "\n".join(["Head", *ARTICLE])
+
+
+def test_short_paragraphs_of_an_article_stay():
+    body = f"{NAV}<article><h1>A</h1><p>b.</p><p>{ARTICLE[0]}</p><p>c</p><p>d</p><p>e</p><p>f</p></article>{FOOT}"
+    assert html_text.main_text(page(body)) == "\n".join(["A", "b.", ARTICLE[0], "c", "d", "e", "f"])
+
+
+def test_blocks_references_and_space():
+    body = "<article><p>one&nbsp;&amp;\n\t two<br>three <b>f</b>our</p>tail &lt;p&gt; &#x41;&#66;<p>open<p>next</article>"
+    assert html_text.main_text(page(body)) == "one & two three four\ntail <p> AB\nopen\nnext"
+
+
+def test_lines_without_any_structure():
+    """By density alone: scattered short lines around a run of long ones."""
+    menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "Sport", "About"))
+    text = html_text.main_text(page(menu + "<hr>" + "<div></div>" * 3 + paragraphs()))
+    assert text.endswith("\n".join(ARTICLE)) and "Home" not in text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from(list("<>/!-\"'= apdivrtcle&;#x\n")), max_size=80))
+def test_any_markup_is_read(text):
+    html_text.main_text(text)
+
+
+@pytest.mark.parametrize("text", ["<" * 50_000, "<div>" * 20_000, "<a b='" * 20_000, "<!--" * 20_000, "<p>" + "word " * 100_000, "&" * 50_000])
+def test_long_and_odd_markup_takes_no_time(text):
+    html_text.main_text(text)
+
+
+def test_edges(spark):
+    schema = "page_id bigint, url string, html string, text string, n_chars string, lines bigint"
+    rows = [
+        (1, "u", page(f"<article>{paragraphs()}</article>"), "x", "y", 0), (2, None, None, None, None, None), (3, "u", "", "x", "y", 0),
+        (None, "u", "<p>", "x", "y", 0), (4, "u", "no markup at all", "x", "y", 0), (4, "u", "no markup at all", "x", "y", 0),
+        (5, "u", "<script>x", "x", "y", 0), (6, "u", page(f"<article>{paragraphs(ARTICLE * 2000)}</article>"), "x", "y", 0),
+    ]
+    out = by(html_text.extract(spark.createDataFrame(rows, schema)), "page_id")
+    want = {1: "\n".join(ARTICLE), 2: "", 3: "", None: "", 4: "no markup at all", 5: "", 6: "\n".join(ARTICLE * 2000)}
+    assert len(out) == len(rows)
+    for r in out:
+        assert r["text"] == want[r["page_id"]] and r["n_chars"] == len(r["text"])
+    assert html_text.extract(spark.createDataFrame([], schema)).collect() == []
