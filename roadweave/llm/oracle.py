@@ -20,7 +20,7 @@ with recursive d as (
 ),
 s as (
     select "source", sum(size)::bigint as source_size,
-        [5.0, 2.0, 1.0]::double[][((row_number() over (order by "source" nulls last) - 1) % 3 + 1)::int] as weight
+        (list_value(5.0::double, 2.0::double, 1.0::double))[((row_number() over (order by "source" nulls last) - 1) % 3 + 1)::int] as weight
     from d group by "source"
 ),
 -- level: what a unit of weight gets; whoever is above its cap stops there and the rest share again
@@ -54,7 +54,7 @@ q as (
 x as (
     select *, case when size = 0 then 1 else (passes + (cut > 0)::int)::int end as copies,
         -- demand of each weight class up to a time: 5t, t + t^2 and 2t - t^2; its inverse gives the time
-        case when weight = 5 then share
+        case when weight = 5 then 2 * (share * 5) / (5 + sqrt(25::double))
              when weight = 2 then case when share * 2 <= 0.75 then 2 * (share * 2) / (1 + sqrt(1 + 4 * (share * 2)))
                                        else 0.5 + 2 * (share * 2 - 0.75) / (2 + sqrt(4 + 4 * (share * 2 - 0.75))) end
              else case when share <= 0.75 then 2 * share / (2 + sqrt(greatest(0, 4 - 4 * share)))
