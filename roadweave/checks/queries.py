@@ -1,7 +1,12 @@
-"""Every query of the library over whole test tables. Each takes the derived inputs and returns a lazy frame."""
+"""Every query of the library over whole test tables. Each takes the derived inputs and returns a frame.
+
+Frames are lazy but for tables that a query writes to the shared folder first, as the published scripts do: located
+nodes and reference points where they are used more than once, and results that a query then reads back.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,15 +15,15 @@ from pyspark.sql import functions as F
 from roadweave import operators as ops
 from roadweave.functions import (
     concat_present,
+    exact_sum,
     milepost_to_number,
     reference_point_to_number,
     round_half_up,
 )
 from roadweave.plans import corridors, county, countylines, lab, nodes, pavement
-from roadweave.session import tune
 from roadweave.sources.derived import Inputs
 from roadweave.sources.schemas import SEC_SEGMENTS
-from roadweave.sources.tables import materialize
+from roadweave.sources.tables import define_view, materialize, replace_table, shared_folder, snapshot
 
 Query = Callable[[Inputs], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +37,7 @@ def query(fn: Query) -> Query:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Query) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, directory: str) -> DataFrame:
-            return fn(Inputs(tune(spark), directory))
+            return fn(Inputs(spark, directory))
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         return run
@@ -89,10 +94,28 @@ def reference_point_numbers(t: Inputs) -> DataFrame:
     )
 
 
+def _located(t: Inputs) -> DataFrame:
+    """C2 as a written table."""
+    return materialize(gn_locate_unique(t))
+
+
+def _points(t: Inputs, located: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """C4 as a written table (S5): each end of a segment looks it up."""
+    located = gn_locate_unique(t) if located is None else located
+    ends = nodes.segment_nodes(t["sec_segments"], located, strict=strict)
+    return materialize(nodes.reference_points(ends, t["ref_marker"]))
+
+
 @query
 def segment_enriched(t: Inputs) -> DataFrame:
     """C5, J6, E2, E3, E8, E11, A9"""
-    return nodes.enrich_segments(t["sec_segments"], reference_points(t))
+    return nodes.enrich_segments(t["sec_segments"], _points(t))
+
+
+@query
+def segment_enriched_exact(t: Inputs) -> DataFrame:
+    """C5 with whole miles of offset counted"""
+    return nodes.enrich_segments(t["sec_segments"], _points(t), exact=True)
 
 
 @query
@@ -102,9 +125,8 @@ def begin_node_snap(t: Inputs) -> DataFrame:
 
 
 def _snapped(t: Inputs, table: str) -> DataFrame:
-    located = gn_locate_unique(t)
-    strict = nodes.segment_nodes(t["sec_segments"], located, strict=True)
-    return nodes.snap_begin_nodes(t[table], nodes.reference_points(strict, t["ref_marker"]), located)
+    located = _located(t)
+    return nodes.snap_begin_nodes(t[table], _points(t, located, strict=True), located)
 
 
 # --- corridor inventories -----------------------------------------------------------------------------------
@@ -113,7 +135,7 @@ def _snapped(t: Inputs, table: str) -> DataFrame:
 @query
 def missing_corridors(t: Inputs) -> DataFrame:
     """C7, J8, J9, U2, U4, E2"""
-    return corridors.missing_corridors(t["roadlog"], t["sec_segments"])
+    return corridors.missing_corridors(t["roadlog"], t["surveyed_corridors"])
 
 
 @query
@@ -125,13 +147,13 @@ def corridor_candidates(t: Inputs) -> DataFrame:
 @query
 def corridor_candidates_literal(t: Inputs) -> DataFrame:
     """C8 (restricted candidates), F11, J13, U1"""
-    return corridors.candidate_extremes_literal(corridor_candidates(t))
+    return corridors.candidate_extremes_literal(materialize(corridor_candidates(t)))
 
 
 @query
 def corridor_extremes_literal(t: Inputs) -> DataFrame:
     """C8 as published, W2, W3, O5"""
-    return corridors.corridor_extremes(corridor_candidates(t), literal=True)
+    return corridors.corridor_extremes(materialize(corridor_candidates(t)), literal=True)
 
 
 @query
@@ -158,11 +180,27 @@ def final_dataset_south(t: Inputs) -> DataFrame:
     return corridors.final_dataset(segment_enriched(t), t["forest"], (12175,))
 
 
+@query
+def final_dataset_padded(t: Inputs) -> DataFrame:
+    """C10 with forest codes of six digits (K9)"""
+    return corridors.final_dataset(segment_enriched(t), t["forest"], (12174,), pad=6)
+
+
 @query
 def final_dataset_addback(t: Inputs) -> DataFrame:
     """C10 with missing corridors added back, F12, U3, U5"""
+    return _added_back(t, 12174)
+
+
+@query
+def final_dataset_addback_south(t: Inputs) -> DataFrame:
+    """C10 with missing corridors of the other van added back"""
+    return _added_back(t, 12175)
+
+
+def _added_back(t: Inputs, van: int) -> DataFrame:
     return corridors.final_dataset_with_missing(
-        _snapped(t, "sec_segments_new_col"), t["sec_segments"], t["sec_segments_new_col"], t["forest"]
+        _snapped(t, "sec_segments_new_col"), t["sec_segments"], t["sec_segments_new_col"], t["forest"], van
     )
 
 
@@ -195,6 +233,34 @@ def delivery_order(t: Inputs) -> DataFrame:
     return counted.select(*place, "dir", "lane", "begin_mi", "n", (before + 1).alias("place"))
 
 
+@query
+def delivered_rows(t: Inputs) -> DataFrame:
+    """O1, O2: rows in the order they are handed over"""
+    order = ["van_no", "secfile_name", "corridor_code_rb", "dir", "lane", "begin_mi"]
+    return corridors.in_delivery_order(_datasets(t, (12174, 12175)).select(*order))
+
+
+@query
+def view_rows(t: Inputs) -> DataFrame:
+    """A named view, read by SQL"""
+    define_view(gn_locate_unique(t), "gn_dc_unique")
+    return t.spark.sql("select dc_id, count(*) as nodes, max(gn_dcmi) as last_mile from gn_dc_unique group by dc_id")
+
+
+@query
+def replaced_table(t: Inputs) -> DataFrame:
+    """A table replaced by a part of itself"""
+    path = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
+    table = replace_table(county_totals(t), path, keys=["fips"])
+    return replace_table(table.where("max_deaths > 0"), path, keys=["fips"])
+
+
+@query
+def marker_snapshot(t: Inputs) -> DataFrame:
+    """Four of the eleven columns of the marker layout"""
+    return snapshot(t["ref_marker_source"], ["dc_id", "beg_dcmi", "end_dcmi", "dc_rm"])
+
+
 @query
 def section_totals(t: Inputs) -> DataFrame:
     """C25, A2, A4, A6, E15, F4, F9, J13, P4, U1"""
@@ -222,13 +288,13 @@ def maintained_or_hpms(t: Inputs) -> DataFrame:
 @query
 def survey_gap(t: Inputs) -> DataFrame:
     """C21, J13, P5, F3, F4, A9"""
-    return corridors.survey_gap(t["sec_segments"], gn_locate_unique(t))
+    return corridors.survey_gap(t["sec_segments"], _located(t))
 
 
 @query
 def survey_gap_xy(t: Inputs) -> DataFrame:
     """C21 with latitude and longitude put right"""
-    return corridors.survey_gap(t["sec_segments"], gn_locate_unique(t), swap_xy=True)
+    return corridors.survey_gap(t["sec_segments"], _located(t), swap_xy=True)
 
 
 # --- county lines and survey files --------------------------------------------------------------------------
@@ -253,15 +319,15 @@ def surveyed_segments(t: Inputs) -> DataFrame:
 
 
 @query
-def county_lines_on_segments(t: Inputs) -> DataFrame:
-    """C19 as published, E5, E6, E7, E9, J2, A9"""
+def county_lines_inside_segments(t: Inputs) -> DataFrame:
+    """C19 with lines inside the segment (K2), E5, E6, E7, E9, J2, J4, A9"""
     return countylines.place_county_lines(county_crossings(t), surveyed_segments(t))
 
 
 @query
-def county_lines_inside_segments(t: Inputs) -> DataFrame:
-    """C19 with lines inside the segment (K2), J4"""
-    return countylines.place_county_lines(county_crossings(t), surveyed_segments(t), contains=True)
+def ambiguous_posts(t: Inputs) -> DataFrame:
+    """Posts, in whole miles, that a match without a corridor expands"""
+    return countylines.ambiguous_posts(t["north_corr_rb"], 0)
 
 
 @query
@@ -315,14 +381,14 @@ def lab_conflicts(t: Inputs) -> DataFrame:
 
 @query
 def lab_clean(t: Inputs) -> DataFrame:
-    """Conflicts in pH alone, which some samples of the test data lack"""
-    return lab.lab_clean(lab_rows(t), compared=["ph"])
+    """C11, A1, J1, U2"""
+    return lab.lab_clean(lab_rows(t))
 
 
 @query
 def lab_clean_by_test(t: Inputs) -> DataFrame:
-    """C11 comparing all measures, each test taken as a sample of its own"""
-    test = (F.col("smpl_id") * 10 + F.col("smpl_tst_nbr").cast("bigint")).alias("smpl_id")
+    """C11 with each test taken as a sample of its own"""
+    test = F.concat_ws("/", F.col("smpl_id").cast("string"), "smpl_tst_nbr").alias("smpl_id")
     return lab.lab_clean(lab_rows(t).select(test, "matl_cd", "geog_area_t", *lab.REPORTED))
 
 
@@ -463,7 +529,7 @@ def group_by_expr(t: Inputs) -> DataFrame:
     """A11, A10, J15, E1"""
     corridor = concat_present("nrlg_dept_route", "nrlg_dept_roadbed").alias("corridor")
     return t["roadlog"].groupBy(corridor, "nrlg_smaint").agg(
-        F.min("nrlg_dept_length_mi").alias("begmile"), F.sum("nrlg_dept_length_mi").alias("endmile")
+        F.min("nrlg_dept_length_mi").alias("begmile"), exact_sum(F.col("nrlg_dept_length_mi")).alias("endmile")
     )
 
 
@@ -528,14 +594,14 @@ def semi_and_anti(t: Inputs) -> DataFrame:
     """Roadlog rows on listed corridors, without off-system codes"""
     log = t["roadlog"].withColumn("corridor", concat_present("nrlg_dept_route", "nrlg_dept_roadbed"))
     listed = log.join(t["hpms"], F.col("corridor") == F.col("route_id"), "left_semi")
-    kept = ops.not_in_present(listed, "nrlg_sys_desc", corridors.OFF_SYSTEM, source=t["roadlog"])
+    kept = ops.not_in_present(listed, "nrlg_sys_desc", corridors.OFF_SYSTEM)
     return kept.groupBy("corridor", "nrlg_sys_desc").agg(F.count("*").alias("n"))
 
 
 @query
 def not_in_absent_codes(t: Inputs) -> DataFrame:
     """No listed code occurs, so rows without a code stay"""
-    kept = ops.not_in_present(t["roadlog"], "nrlg_sys_desc", ["XXX", "YYY"])
+    kept = ops.not_in_present(t["roadlog"], "nrlg_sys_desc", ["XXX", "YYY"], check=True)
     return kept.groupBy("nrlg_sys_desc").agg(F.count("*").alias("n"))
 
 

@@ -2,6 +2,7 @@
 
 from roadweave.functions.measures import (
     divide,
+    exact_sum,
     km_to_mi,
     length_ratio_pct,
     per_capita,
@@ -21,6 +22,7 @@ __all__ = [
     "concat_present",
     "corridor_number",
     "divide",
+    "exact_sum",
     "km_to_mi",
     "length_ratio_pct",
     "milepost_to_number",

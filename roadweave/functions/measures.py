@@ -24,6 +24,11 @@ def round_half_up(col: Column, digits: int) -> Column:
     return F.round(guarded(col, digits), digits).cast("double")
 
 
+def exact_sum(col: Column, digits: int = 9) -> Column:
+    """Sum of doubles as decimals of so many places, as a double: the same in whatever order the rows come."""
+    return F.sum(col.cast(f"decimal(28,{digits})")).cast("double")
+
+
 def divide(num: Column, den: Column, on_zero: str = "error") -> Column:
     """Fractional division; a zero divisor raises, or yields null with ``on_zero='null'``."""
     if on_zero == "error":

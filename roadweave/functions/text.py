@@ -18,12 +18,16 @@ def blank_as_null(col: Column, blank: str = " ") -> Column:
     return F.when(~col.isin(blank, ""), col)
 
 
-def milepost_to_number(col: Column) -> Column:
-    """``'12+0.345'`` -> 12.345 and ``'12-0.5'`` -> 11.5; either part may be absent, null is 0."""
-    miles = F.regexp_substr(col, F.lit("^[0-9]+")).cast("decimal(18,3)")
-    fraction = F.regexp_substr(col, F.lit("[+-][0-9.]*")).cast("decimal(18,3)")
-    zero = F.lit(0).cast("decimal(18,3)")
-    return (F.coalesce(miles, zero) + F.coalesce(fraction, zero)).cast("decimal(18,3)")
+def milepost_to_number(col: Column, digits: int | None = 3) -> Column:
+    """``'12+0.345'`` -> 12.345 and ``'12-0.5'`` -> 11.5; either part may be absent, null is 0.
+
+    The parts are added as decimals of 18 places and rounded half up at the end; without ``digits`` not at all.
+    """
+    exact, zero = "decimal(38,18)", F.lit(0).cast("decimal(38,18)")
+    miles = F.regexp_substr(col, F.lit("^[0-9]+")).cast(exact)
+    fraction = F.regexp_substr(col, F.lit("[+-][0-9.]*")).cast(exact)
+    mile = (F.coalesce(miles, zero) + F.coalesce(fraction, zero)).cast(exact)
+    return mile if digits is None else F.round(mile, digits).cast(f"decimal(18,{digits})")
 
 
 def reference_point(marker: Column, offset: Column) -> Column:
@@ -42,15 +46,16 @@ def reference_point(marker: Column, offset: Column) -> Column:
 def reference_point_to_number(col: Column, exact: bool = False) -> Column:
     """Reference point text back to a mile.
 
-    By position, as the source data is read: marker digits, then the offset from its decimal point on, so
-    whole miles of offset are lost (``' 012+1.250'`` -> 12.250). ``exact=True`` adds marker and offset
-    (13.250).
+    As the source data is read: marker digits, then the offset from its decimal point on, so whole miles of offset
+    are lost, however many digits they have (``' 012+1.250'`` and ``' 012+13.250'`` -> 12.250). ``exact=True`` adds
+    marker and offset (13.250 and 25.250).
     """
     if exact:
         marker = F.trim(F.substring_index(col, "+", 1)).cast("decimal(18,3)")
         offset = F.substring_index(col, "+", -1).cast("decimal(18,3)")
         return (marker + offset).cast("double")
-    return F.concat(F.substring(col, 1, 4), F.substring(col, 7, 9)).cast("decimal(18,3)").cast("double")
+    joined = F.concat(F.trim(F.substring_index(col, "+", 1)), F.coalesce(F.regexp_substr(col, F.lit("[.][0-9]+$")), F.lit("")))
+    return joined.cast("decimal(18,3)").cast("double")
 
 
 def corridor_number(col: Column) -> Column:

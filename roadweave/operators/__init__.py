@@ -3,6 +3,7 @@
 from roadweave.operators.joins import (
     RoundedKey,
     interval_join,
+    interval_sides,
     lookup_ends,
     not_in_present,
     rounded_join,
@@ -39,6 +40,7 @@ __all__ = [
     "conflicting_keys",
     "conform",
     "interval_join",
+    "interval_sides",
     "keep_unambiguous",
     "keep_unique",
     "key_violations",

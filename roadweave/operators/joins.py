@@ -54,6 +54,42 @@ def rounded_join(
     return joined.drop(*(f"__{s}{i}" for i in range(len(on)) for s in "lr"))
 
 
+LEVEL_FACTOR = 8
+
+
+class IntervalSides(NamedTuple):
+    """Both sides of an interval join with their buckets, and the conditions that join them."""
+
+    points: DataFrame
+    intervals: DataFrame
+    on: Column
+    helpers: tuple[str, ...]
+
+
+def interval_sides(
+    points: DataFrame, intervals: DataFrame, key: tuple[str, str], at: str, lo: str, hi: str,
+    bin: float | None = None, salt: int = 1,
+) -> IntervalSides:
+    """The sides of ``interval_join``. A point is repeated once per level of interval lengths that occurs."""
+    on = [F.col(key[0]) == F.col(key[1]), F.col(at) >= F.col(lo), F.col(at) <= F.col(hi)]
+    intervals = intervals.where(F.col(lo) <= F.col(hi))
+    if bin is not None:
+        size = lambda level: F.lit(float(bin)) * F.pow(F.lit(float(LEVEL_FACTOR)), F.col(level))
+        bucket = lambda name, level: F.floor(F.col(name) / size(level))
+        steps = F.log(float(LEVEL_FACTOR), F.greatest((F.col(hi) - F.col(lo)) / F.lit(float(bin)), F.lit(1.0)))
+        intervals = intervals.withColumn("__level", F.ceil(steps).cast("int"))
+        levels = intervals.agg(F.collect_set("__level").alias("levels")).scalar()
+        points = points.withColumn("__at_level", F.explode_outer(levels)).withColumn("__at_bin", bucket(at, "__at_level"))
+        intervals = intervals.withColumn("__bin", F.explode(F.sequence(bucket(lo, "__level"), bucket(hi, "__level"))))
+        on += [F.col("__at_bin") == F.col("__bin"), F.col("__at_level") == F.col("__level")]
+    if salt > 1:
+        points = points.withColumn("__at_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salt)).cast("int"))
+        intervals = intervals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        on.append(F.col("__at_salt") == F.col("__salt"))
+    helpers = ("__at_bin", "__at_level", "__bin", "__level", "__at_salt", "__salt")
+    return IntervalSides(points, intervals, reduce(and_, on), helpers)
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -67,27 +103,26 @@ def interval_join(
 ) -> DataFrame:
     """Join each point to the intervals of its key that contain it, both ends included.
 
-    ``bin`` adds a bucket of the measure to the equi-key: an interval is repeated once per bucket it
-    touches, a point has exactly one bucket, so no pair is lost or doubled. One route then spreads over
-    as many tasks as it has buckets, and a point only meets intervals near it. Choose ``bin`` about as long
-    as a typical interval. ``salt`` splits points further when a single bucket is hot: the intervals are
-    repeated ``salt`` times, each point takes one copy, chosen by its values so that a recomputed task
-    chooses alike. ``how`` is ``'inner'`` or ``'left'``. Column names of the two sides must differ.
+    ``bin`` adds a bucket of the measure to the equi-key, so that one route spreads over as many tasks as it has
+    buckets, and a point only meets intervals near it. Buckets come in levels, each ``LEVEL_FACTOR`` times as wide
+    as the one before; an interval goes to the first level whose buckets are as long as it is, or to the next
+    longer one, and so touches two buckets at most there, whatever its length. A point has one bucket in each
+    level that occurs among the intervals, which is one or two as a rule. Choose ``bin`` about as long as a typical
+    interval. ``salt`` splits points further when a single bucket is hot: the intervals are repeated ``salt``
+    times, each point takes one copy, chosen by its values so that a recomputed task chooses alike.
+
+    ``how`` is ``'inner'`` or ``'left'``; the latter finds the points without any interval by a second join on all their
+    columns. Column names of the two sides must differ.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    on = [F.col(key[0]) == F.col(key[1]), F.col(at) >= F.col(lo), F.col(at) <= F.col(hi)]
-    intervals = intervals.where(F.col(lo) <= F.col(hi))
-    if bin is not None:
-        bucket = lambda name: F.floor(F.col(name) / F.lit(float(bin)))
-        points = points.withColumn("__at_bin", bucket(at))
-        intervals = intervals.withColumn("__bin", F.explode(F.sequence(bucket(lo), bucket(hi))))
-        on.append(F.col("__at_bin") == F.col("__bin"))
-    if salt > 1:
-        points = points.withColumn("__at_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salt)).cast("int"))
-        intervals = intervals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        on.append(F.col("__at_salt") == F.col("__salt"))
-    return points.join(intervals, reduce(and_, on), how).drop("__at_bin", "__bin", "__at_salt", "__salt")
+    sides = interval_sides(points, intervals, key, at, lo, hi, bin, salt)
+    pairs = sides.points.join(sides.intervals, sides.on).drop(*sides.helpers)
+    if how == "inner":
+        return pairs
+    met = pairs.select(*(F.col(c).alias(f"__met_{c}") for c in points.columns)).distinct()
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__met_{c}")) for c in points.columns))
+    return pairs.unionByName(points.join(met, same, "left_anti"), allowMissingColumns=True)
 
 
 def lookup_ends(
@@ -113,12 +148,18 @@ def lookup_ends(
     return segments
 
 
-def not_in_present(df: DataFrame, col: str, codes: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+def not_in_present(
+    df: DataFrame, col: str, codes: Sequence[str], source: DataFrame | None = None, check: bool = False
+) -> DataFrame:
     """Rows whose code is not among those of ``codes`` that occur in ``source``.
 
     This is ``NOT IN (subquery)``: a null code is dropped, except when none of the codes occurs at all, for
-    then the list is empty and every row stays. The list is a literal, hence a filter pushed to the scan;
-    whether it is empty is one uncorrelated EXISTS, which stops at the first hit.
+    then the list is empty and every row stays. That some code occurs is taken for granted, and the list is a
+    plain filter, pushed to the scan. ``check`` looks: one uncorrelated EXISTS over ``source``, which costs
+    another scan and keeps the filter from being pushed.
     """
+    outside = ~F.col(col).isin(*codes)
+    if not check:
+        return df.where(outside)
     occurs = (df if source is None else source).where(F.col(col).isin(*codes)).select(col).exists()
-    return df.where(~F.col(col).isin(*codes) | ~occurs)
+    return df.where(outside | ~occurs)

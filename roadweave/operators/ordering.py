@@ -69,53 +69,67 @@ def running_count_at_key(
     )
 
 
-def _magnitude_bucket(col: Column) -> Column:
-    """Non-decreasing in ``col``: 64 buckets per power of two of the magnitude, mirrored for negatives."""
-    steps = F.floor((F.log2(F.abs(col)) + F.lit(1100.0)) * F.lit(64.0)) + F.lit(1)
-    zero, last = F.lit(0).cast("bigint"), F.lit(1 << 40).cast("bigint")
-    return F.when(col == 0, zero).when(F.isnan(col), last).when(col < 0, -steps).otherwise(steps)
+# Bits of a value's place that the three steps of ``rank_quantiles`` look at: 131,072 buckets in each step at most.
+_PLACE_BITS = 40
+_STEPS = (34, 17, 0)
+
+
+def _place(col: Column) -> Column:
+    """A whole number, non-decreasing in ``col``: the logarithm of the magnitude in units of 2**-40, mirrored for
+    negatives. Neighbours within 10**-12 of their size may share one; infinities and NaN have their own."""
+    magnitude = F.abs(col)
+    log = F.log2(F.when((magnitude > 0) & (magnitude < F.lit(float("inf"))), magnitude).otherwise(F.lit(1.0)))
+    place = F.floor((log + F.lit(1100.0)) * F.lit(float(1 << _PLACE_BITS))) + F.lit(1)
+    past = F.lit(1 << 52).cast("bigint")
+    place = F.when(magnitude == F.lit(float("inf")), past).otherwise(place)
+    return F.when(col.isNull(), None).when(col == 0, F.lit(0).cast("bigint")).when(F.isnan(col), past + 1).when(col < 0, -place).otherwise(place)
 
 
 def rank_quantiles(df: DataFrame, col: str, fractions: Sequence[float]) -> DataFrame:
     """Values at rows ``trunc(n * fraction)`` of the table ordered by ``col``, one row per fraction found.
 
-    Nulls sort first and count as rows. A fraction whose row number is 0 finds none. The result is exact:
+    Nulls sort first and count as rows. A fraction whose row number is 0 finds none. The result is exact and of
+    the column's type:
 
-    1. count per value, and from that per magnitude bucket (a few thousand at most);
-    2. a running count over the buckets finds the one that holds each wanted row;
-    3. a running count over the values of those buckets finds the value.
+    1. count per value;
+    2. a running count over buckets of values finds the bucket that holds each wanted row, then, among the values of
+       that bucket only, the bucket of a finer division, and once more;
+    3. a running count over the values of the last bucket finds the value.
 
-    So the rows are never sorted as a whole; a repeated value is one counted row.
+    So neither the rows nor the distinct values are ever sorted as a whole. The last buckets are 10**-12 of a value
+    wide: some thousand doubles at most, whatever the table. A repeated value is one counted row.
     """
-    value = F.col(col).cast("double")
     counts = (
-        df.select(value.alias("value"))
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", _magnitude_bucket(F.col("value")))
+        df.select(F.col(col).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("place", _place(F.col("value").cast("double")))
     )
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
-    buckets = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
     over_all = Window.partitionBy(F.lit(1))
-    by_bucket = over_all.orderBy(F.col("bucket").asc_nulls_first())
     wanted = F.explode(F.array(*(F.struct(F.lit(float(q)).alias("fraction")) for q in fractions)))
-    targets = (
-        buckets.withColumn("through", F.sum("n").over(upto(by_bucket)))
-        .withColumn("total", F.sum("n").over(over_all))
-        .withColumn("w", wanted)
-        .withColumn("row", F.floor(F.col("total") * F.col("w.fraction")))
-        .where((F.col("through") - F.col("n") < F.col("row")) & (F.col("row") <= F.col("through")))
-        .select(
-            F.col("w.fraction").alias("fraction"), "row",
-            F.col("bucket").alias("in_bucket"), (F.col("through") - F.col("n")).alias("before"),
+    holds = (F.col("through") - F.col("n") < F.col("row")) & (F.col("row") <= F.col("through"))
+    targets: DataFrame | None = None
+    for step, bits in enumerate(_STEPS):
+        bucket = F.shiftright("place", bits)
+        if targets is None:
+            buckets = counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"))
+            running = (
+                buckets.withColumn("through", F.sum("n").over(upto(over_all.orderBy(F.col("bucket").asc_nulls_first()))))
+                .withColumn("total", F.sum("n").over(over_all)).withColumn("w", wanted)
+                .withColumn("row", F.floor(F.col("total") * F.col("w.fraction"))).withColumn("fraction", F.col("w.fraction"))
+            )
+        else:
+            inside = counts.join(F.broadcast(targets), F.shiftright("place", _STEPS[step - 1]).eqNullSafe(F.col("in_bucket")))
+            buckets = inside.groupBy("fraction", "row", "before", bucket.alias("bucket")).agg(F.sum("n").alias("n"))
+            order = Window.partitionBy("fraction").orderBy(F.col("bucket").asc_nulls_first())
+            running = buckets.withColumn("through", F.col("before") + F.sum("n").over(upto(order)))
+        # One row per fraction at most, whatever the size of the table.
+        targets = running.where(holds).select(
+            "fraction", "row", F.col("bucket").alias("in_bucket"), (F.col("through") - F.col("n")).alias("before")
         )
-    )
-    # One row per fraction at most, whatever the size of the table.
-    inside = counts.join(F.broadcast(targets), F.col("bucket").eqNullSafe(F.col("in_bucket")))
+    inside = counts.join(F.broadcast(targets), F.shiftright("place", _STEPS[-1]).eqNullSafe(F.col("in_bucket")))
     by_value = Window.partitionBy("fraction").orderBy(F.col("value").asc_nulls_first())
     placed = inside.withColumn("through", F.col("before") + F.sum("n").over(upto(by_value)))
-    hit = (F.col("through") - F.col("n") < F.col("row")) & (F.col("row") <= F.col("through"))
-    return placed.where(hit).select("fraction", F.col("value").alias(col))
+    return placed.where(holds).select("fraction", F.col("value").alias(col))
 
 
 def upper_fence_filter(

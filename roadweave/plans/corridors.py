@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadweave.functions import concat_present
+from roadweave.functions import concat_present, exact_sum
 from roadweave.operators import conform, minus, not_in_present
 from roadweave.sources.schemas import SEC_SEGMENTS
 
@@ -26,7 +26,7 @@ FOREST_ABOVE = 600
 def missing_corridors(roadlog: DataFrame, segments: DataFrame) -> DataFrame:
     """Paved, on-system corridors of the roadlog that no segment covers."""
     paved = roadlog.where(F.col("nrlg_srf_type").isin(*PAVED))
-    listed = not_in_present(paved, "nrlg_sys_desc", OFF_SYSTEM, source=roadlog)
+    listed = not_in_present(paved, "nrlg_sys_desc", OFF_SYSTEM)
     corridors = listed.select(concat_present("nrlg_dept_route", "nrlg_dept_roadbed").alias("corridor_code_rb"))
     return minus(corridors, segments.select("corridor_code_rb"))
 
@@ -111,9 +111,12 @@ def new_corridor_records(
 
 
 def forest_codes(forest: DataFrame, above: int = FOREST_ABOVE, pad: int | None = None) -> DataFrame:
-    """Corridor codes of forest highways numbered over ``above``; ``pad`` gives the number that many digits (K9)."""
+    """Corridor codes of forest highways numbered over ``above``; ``pad`` gives the number that many digits at least (K9)."""
     number = F.col("corridor").cast("string")
-    code = F.concat(F.lit("C0"), number) if pad is None else F.concat(F.lit("C"), F.lpad(number, pad, "0"))
+    if pad is None:
+        code = F.concat(F.lit("C0"), number)
+    else:  # lpad alone would cut longer numbers down to another corridor's
+        code = F.concat(F.lit("C"), F.when(F.length(number) < pad, F.lpad(number, pad, "0")).otherwise(number))
     return forest.where(F.col("corridor") > above).select(code.alias("forest_code")).distinct()
 
 
@@ -173,7 +176,7 @@ def section_totals(dataset: DataFrame, vans: Mapping[int, str] = VANS) -> DataFr
         .withColumn("part", part)
         .where((F.col("secfile_name") != F.col("part")) & ~F.col("secfile_name").startswith("Non"))
         .groupBy("secfile_name", "part")
-        .agg(F.count(counted).alias("total"), F.sum(F.abs(F.col("end_mi") - F.col("begin_mi"))).alias("total_miles"))
+        .agg(F.count(counted).alias("total"), exact_sum(F.abs(F.col("end_mi") - F.col("begin_mi"))).alias("total_miles"))
         .where(F.col("total") > 1)
         .select("secfile_name", "total", "total_miles", "part")
     )
@@ -194,7 +197,7 @@ def maintained_routes(roadlog: DataFrame) -> DataFrame:
         .groupBy("nrlg_dept_route")
         .agg(
             F.min("nrlg_dept_length_mi").alias("begmile"),
-            F.sum("nrlg_dept_length_mi").alias("endmile"),
+            exact_sum(F.col("nrlg_dept_length_mi")).alias("endmile"),
             F.max(F.col("nrlg_smaint") == "Y").alias("maintained"),
             F.max(kept).alias("kept"),
         )
@@ -209,13 +212,11 @@ def maintained_hpms(roadlog: DataFrame, hpms: DataFrame, dataset: DataFrame) ->
     Only paved, on-system rows of routes with state maintenance count; corridors appear in the dataset outside
     the ``North`` section file. The roadlog is read once, into (route, roadbed, maintenance code) groups.
     """
-    paved = F.col("nrlg_srf_type").isin(*PAVED)
-    # Null system codes count only when none of the listed codes exists.
-    listed = roadlog.where(F.col("nrlg_sys_desc").isin(*OFF_SYSTEM)).select("nrlg_sys_desc").exists()
-    counts = paved & (~F.col("nrlg_sys_desc").isin(*OFF_SYSTEM) | ~listed)
+    # Rows without a system code don't count, as some of the listed codes always exist.
+    counts = F.col("nrlg_srf_type").isin(*PAVED) & F.coalesce(~F.col("nrlg_sys_desc").isin(*OFF_SYSTEM), F.lit(False))
     groups = roadlog.withColumn("counts", counts).groupBy("nrlg_dept_route", "nrlg_dept_roadbed", "nrlg_smaint").agg(
         F.min(F.when(F.col("counts"), F.col("nrlg_dept_length_mi"))).alias("begmile"),
-        F.sum(F.when(F.col("counts"), F.col("nrlg_dept_length_mi"))).alias("endmile"),
+        F.sum(F.when(F.col("counts"), F.col("nrlg_dept_length_mi")).cast("decimal(28,9)")).alias("endmile"),
         F.max(F.col("counts")).alias("counts"),
     )
     # A route has a handful of such groups, however many rows it has.
@@ -226,7 +227,7 @@ def maintained_hpms(roadlog: DataFrame, hpms: DataFrame, dataset: DataFrame) ->
             F.col("maintained") & F.col("counts") & F.col("nrlg_smaint").isNotNull() & F.col("nrlg_dept_route").isNotNull()
         )
         .groupBy(concat_present("nrlg_dept_route", "nrlg_dept_roadbed").alias("corridor_code_rb"), "nrlg_smaint")
-        .agg(F.min("begmile").alias("begmile"), F.sum("endmile").alias("endmile"))
+        .agg(F.min("begmile").alias("begmile"), F.sum("endmile").cast("double").alias("endmile"))
         .drop("nrlg_smaint")
         .distinct()
     )
@@ -245,7 +246,7 @@ def maintained_or_hpms(dataset: DataFrame, hpms: DataFrame, roadlog: DataFrame)
             concat_present("nrlg_dept_route", "nrlg_dept_roadbed").alias("roadlog"),
             F.col("nrlg_smaint").alias("maintained"), F.col("nrlg_sys_desc").alias("descr"),
         )
-        .agg(F.min("nrlg_plan_length_mi").alias("begin_mi"), F.sum("nrlg_plan_length_mi").alias("end_mi"))
+        .agg(F.min("nrlg_plan_length_mi").alias("begin_mi"), exact_sum(F.col("nrlg_plan_length_mi")).alias("end_mi"))
     )
     return (
         corridors.join(listed, F.col("corridor_code_rb") == F.col("hpms"), "left")
@@ -264,16 +265,16 @@ def survey_gap(
     them right. Corridor-level maxima are aggregated before anything is joined.
     """
     surveyed = segments.groupBy("corridor_code_rb").agg(F.max("end_mi").alias("max_end"))
-    last = nodes.groupBy("dc_id").agg(F.max("gn_dcmi").alias("max_mile"))
-    last_nodes = nodes.select(
-        F.col("dc_id").alias("node_dc"), F.col("gn_id").alias("node"), F.col("gn_dcmi").alias("node_mi"), "tis_xcoord", "tis_ycoord"
+    # Nodes gather per (corridor, mile), so one pass keeps all nodes that share a corridor's last mile.
+    at_mile = nodes.where(F.col("gn_dcmi").isNotNull()).groupBy("dc_id", "gn_dcmi").agg(
+        F.collect_set(F.struct(F.col("gn_id").alias("node"), "tis_xcoord", "tis_ycoord")).alias("there")
     )
+    last = at_mile.groupBy("dc_id").agg(F.max(F.struct(F.col("gn_dcmi"), F.col("there"))).alias("last"))
     gaps = (
         surveyed.join(last, F.col("corridor_code_rb") == F.col("dc_id"))
-        .where(F.col("max_end") != F.col("max_mile"))
-        .join(last_nodes, (F.col("dc_id") == F.col("node_dc")) & (F.col("max_mile") == F.col("node_mi")))
-        .select(F.col("dc_id").alias("gap_dc"), "max_end", "max_mile", "node", "tis_xcoord", "tis_ycoord")
-        .distinct()
+        .where(F.col("max_end") != F.col("last.gn_dcmi"))
+        .select(F.col("dc_id").alias("gap_dc"), "max_end", F.col("last.gn_dcmi").alias("max_mile"), F.explode("last.there").alias("n"))
+        .select("gap_dc", "max_end", "max_mile", "n.*")
     )
     carried = ["corridor_code_rb", "road_pathweb", "van_no", "corridor_code", "secfile_name", "road_van"]
     chosen = (

@@ -38,6 +38,9 @@ FACILITY_RATES = [
     "Total_Residents_COVID_19_Deaths_as_a_Percentage_of_Confirmed_COVID_19_Cases",
 ]
 
+# The roll-up lists the ventilators after the rates.
+FACILITY_ORDER = [*FACILITY_COUNTS[:18], *FACILITY_RATES, *FACILITY_COUNTS[18:]]
+
 # Industry and insurance percentages, with the shorter names some of them get.
 INDUSTRY = {
     "Agriculture_forestry_fishing_and_hunting_and_mining": "Agriculture_forestry_fishing_and_hunting_and_mining",
@@ -197,19 +200,21 @@ def facility_rollup(homes: DataFrame, corrected: bool = False, lenient: bool = F
     As in the source data, every sum is multiplied by the county's number of facilities, and
     ``Total_Facilities`` is the largest rank its facilities have within a zip code (K17). ``corrected`` gives
     plain sums and the number of facilities. Text that is no number raises; ``lenient`` takes it as missing.
-    The table is read once and aggregated before anything is ordered.
+    The table is read once and aggregated before anything is ordered; rates are summed as decimals.
     """
     number = lambda c, kind: F.col(c).try_cast(kind) if lenient else F.col(c).cast(kind)
     typed = homes.select(
         "provider_zip_code", F.col("county_fips").alias("County_Fips"),
         *(number(c, "bigint").alias(c) for c in FACILITY_COUNTS),
-        *(number(c, "double").alias(c) for c in FACILITY_RATES),
+        *(number(c, "decimal(28,9)").alias(c) for c in FACILITY_RATES),
+    )
+    rolled = running_count_at_key(typed, "provider_zip_code", "County_Fips", "Total_Facilities", totals=FACILITY_ORDER)
+    times = (F.lit(1) if corrected else F.col("rows")).cast("decimal(9,0)")
+    shown = lambda c: (
+        (F.col(c).cast("decimal(28,9)") * times).cast("double" if c in FACILITY_RATES else "bigint").alias(c)
     )
-    measures = [*FACILITY_COUNTS, *FACILITY_RATES]
-    rolled = running_count_at_key(typed, "provider_zip_code", "County_Fips", "Total_Facilities", totals=measures)
-    if corrected:
-        return rolled.select("County_Fips", F.col("rows").alias("Total_Facilities"), *measures)
-    return rolled.select("County_Fips", "Total_Facilities", *((F.col(c) * F.col("rows")).alias(c) for c in measures))
+    facilities = F.col("rows").alias("Total_Facilities") if corrected else "Total_Facilities"
+    return rolled.select("County_Fips", facilities, *(shown(c) for c in FACILITY_ORDER))
 
 
 def county_profile(

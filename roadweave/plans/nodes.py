@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadweave.functions import concat_present, km_to_mi, reference_point, reference_point_to_number
-from roadweave.operators import interval_join, keep_unambiguous, keep_unique, lookup_ends
+from roadweave.operators import interval_join, interval_sides, keep_unambiguous, keep_unique, lookup_ends
 
 # Fixed value: the node id that marks an unknown segment end.
 UNKNOWN_NODE = 999_999_999_999
@@ -102,10 +102,12 @@ def reference_points(
     """
     lookup = markers.select("dc_id", "beg_dcmi", "end_dcmi", "dc_rm").distinct()
     key = ["corridor_code_rb", "gn_id", "tis_mi", "tis_x", "tis_y"]
-    covered = interval_join(
+    sides = interval_sides(
         end_nodes.where((F.col("gn_id") == unknown) | F.col("tis_mi").isNotNull()),
-        lookup, key=("corridor_code_rb", "dc_id"), at="tis_mi", lo="beg_dcmi", hi="end_dcmi", bin=bin_mi, how="left",
+        lookup, key=("corridor_code_rb", "dc_id"), at="tis_mi", lo="beg_dcmi", hi="end_dcmi", bin=bin_mi,
     )
+    # An end without a marker comes once per level of buckets; the aggregation counts it once.
+    covered = sides.points.join(sides.intervals, sides.on, "left")
     points = covered.groupBy(*key).agg(
         F.count("dc_id").alias("n"),
         F.max("dc_rm").alias("marker"),

@@ -52,16 +52,29 @@ def materialize(
 def replace_table(
     df: DataFrame, path: str, keys: Sequence[str] | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Replace the table at ``path`` (S7). ``df`` must not read from it; this is checked."""
-    target = path.rstrip("/")
-    reads = [f for f in df.inputFiles() if f"{target}/" in f]
-    if reads:
-        raise ValueError(f"cannot overwrite {path}: the new contents read from it")
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
-    if keys:
-        assert_key(table, keys)
-    return table.select(*df.columns)
+    """Replace the table at ``path`` (S7), which ``df`` may read from.
+
+    The new contents are written beside it and checked; only then do the two change places and the old table goes.
+    So a failed job or check leaves the old table as it was. Renaming is one step for each table on file systems
+    that have it; a reader that meets the moment between the two finds no table.
+    """
+    spark, target = df.sparkSession, path.rstrip("/")
+    fresh, old = (f"{target}.{name}-{uuid.uuid4().hex}" for name in ("new", "old"))
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(target).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        materialize(df, fresh, keys, partition_by)
+    except Exception:
+        files.delete(place(fresh), True)
+        raise
+    if files.exists(place(target)) and not files.rename(place(target), place(old)):
+        raise OSError(f"{target} can't be moved away")
+    if not files.rename(place(fresh), place(target)):
+        files.rename(place(old), place(target))
+        raise OSError(f"{fresh} can't be moved to {target}")
+    files.delete(place(old), True)
+    spark.catalog.refreshByPath(target)
+    return spark.read.schema(df.schema).parquet(target).select(*df.columns)
 
 
 def snapshot(df: DataFrame, columns: Sequence[str], path: str | None = None, keys: Sequence[str] | None = None) -> DataFrame:

@@ -101,3 +101,18 @@ def test_corridor_number(frame):
 @pytest.mark.parametrize(("text", "kept"), [(" ", None), ("", None), (None, None), ("  ", "  "), ("7", "7")])
 def test_blank_as_null(frame, text, kept):
     assert one(frame, "t string", (text,), blank_as_null(F.col("t"))) == kept
+
+
+def test_mileposts_are_exact_until_the_end(frame):
+    df = frame("p string", [("12-0.3455",), ("1+0.0001",), ("1+0.0004",), ("12",), ("+0.5",), (None,)])
+    got = [(float(r.a), float(r.b)) for r in df.select(milepost_to_number(F.col("p")).alias("a"), milepost_to_number(F.col("p"), None).alias("b")).collect()]
+    assert got == [(11.655, 11.6545), (1.0, 1.0001), (1.0, 1.0004), (12.0, 12.0), (0.5, 0.5), (0.0, 0.0)]
+
+
+def test_reference_points_beyond_ten_miles(frame):
+    df = frame("m int, o double", [(5, 0.5), (5, 12.5), (7, 100.25), (1234, 3.125)])
+    text = reference_point(F.col("m"), F.col("o"))
+    shown = df.select(text.alias("t"), reference_point_to_number(text).alias("read"), reference_point_to_number(text, exact=True).alias("exact"))
+    assert [tuple(r) for r in shown.collect()] == [
+        (" 005+0.500", 5.5, 5.5), (" 005+12.500", 5.5, 17.5), (" 007+100.250", 7.25, 107.25), (" 1234+3.125", 1234.125, 1237.125),
+    ]

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from roadweave import operators as ops
+from roadweave.operators import ordering
 from roadweave.sources.schemas import layout
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -124,7 +125,9 @@ def test_lookup_ends(frame):
 def test_not_in_drops_null_unless_no_code_occurs(frame):
     df = frame("id int, code string", [(1, "OFF"), (2, None), (3, "PRI")])
     assert rows(ops.not_in_present(df, "code", ["OFF", "OUT"])) == [(3, "PRI")]
-    assert ops.not_in_present(df, "code", ["XXX"]).count() == 3
+    assert ops.not_in_present(df, "code", ["XXX"]).count() == 2
+    assert ops.not_in_present(df, "code", ["XXX"], check=True).count() == 3
+    assert rows(ops.not_in_present(df, "code", ["OFF", "OUT"], check=True)) == [(3, "PRI")]
     listed = frame("code string", [("PRI",)])
     assert rows(ops.not_in_present(df, "code", ["PRI", "OFF"], source=listed)) == []
 
@@ -137,7 +140,7 @@ def test_not_in_equals_sql(spark, frame, data, codes):
     df.createOrReplaceTempView("coded")
     listed = ", ".join(f"'{c}'" for c in codes)
     literal = spark.sql(f"select * from coded where code not in (select code from coded where code in ({listed}))")
-    assert rows(ops.not_in_present(df, "code", codes)) == rows(literal)
+    assert rows(ops.not_in_present(df, "code", codes, check=True)) == rows(literal)
 
 
 # --- shaping and sets -------------------------------------------------------------------------------------------
@@ -256,3 +259,41 @@ def test_rank_quantiles_equal_row_numbers(frame, data):
 def test_upper_fence(frame, data, kept):
     df = frame("v double", [(float(x),) for x in data])
     assert [r[0] for r in rows(ops.upper_fence_filter(df, "v"))] == kept
+
+
+def test_quantiles_are_exact_for_any_values(frame, spark):
+    big = 9007199254740993  # one more than doubles can hold
+    longs = frame("v bigint", [(big + k,) for k in range(-3, 4)] + [(None,)])
+    got = ops.rank_quantiles(longs, "v", (0.25, 0.5, 0.75, 1.0))
+    assert dict(got.dtypes)["v"] == "bigint"
+    assert rows(got) == [(0.25, big - 3), (0.5, big - 1), (0.75, big + 1), (1.0, big + 3)]
+    inf = float("inf")
+    odd = frame("v double", [(-inf,), (-1.5,), (0.0,), (5e-324,), (1e300,), (inf,), (inf,), (float("nan"),)])
+    found = [r.v for r in ops.rank_quantiles(odd, "v", tuple(k / 8 for k in range(1, 9))).orderBy("fraction").collect()]
+    assert found[:7] == [-inf, -1.5, 0.0, 5e-324, 1e300, inf, inf] and found[7] != found[7]
+
+
+def test_quantiles_of_close_values_are_found_in_small_buckets(spark):
+    """A million values within a ten-thousandth of each other: no last bucket holds more than a few."""
+    df = spark.range(1_000_000).select((1e9 + F.col("id") / 10).alias("v"))
+    got = {r.fraction: r.v for r in ops.rank_quantiles(df, "v", (0.25, 0.5, 0.75)).collect()}
+    assert got == {0.25: 1e9 + 24999.9, 0.5: 1e9 + 49999.9, 0.75: 1e9 + 74999.9}
+    for bits in ordering._STEPS:
+        sizes = df.groupBy(F.shiftright(ordering._place(F.col("v")), bits).alias("b")).count()
+        largest = sizes.agg(F.max("count")).first()[0]
+    assert largest < 100
+
+
+def test_one_interval_over_a_whole_hot_route(frame, spark):
+    """Repeats are bounded whatever the length; results are those of the plain condition."""
+    points = spark.range(2000).select(F.lit("r").alias("r"), (F.col("id") * 1.7e6).alias("x"))
+    spans = [("r", 0.0, 1e12), ("r", 5.0, 5.0), ("r", 1e6, 1.00001e6), ("r", -3.0, 2e9), ("q", 0.0, 1.0)]
+    intervals = frame("k string, lo double, hi double", spans)
+    sides = ops.interval_sides(points, intervals, ("r", "k"), "x", "lo", "hi", bin=5.0)
+    assert sides.intervals.count() <= 3 * len(spans)
+    for how in ("inner", "left"):
+        plain = points.join(intervals, F.expr("r = k and x >= lo and x <= hi"), how)
+        assert rows(ops.interval_join(points, intervals, ("r", "k"), "x", "lo", "hi", bin=5.0, how=how)) == rows(plain)
+    none = intervals.where("false")
+    assert ops.interval_join(points, none, ("r", "k"), "x", "lo", "hi", bin=5.0).count() == 0
+    assert ops.interval_join(points, none, ("r", "k"), "x", "lo", "hi", bin=5.0, how="left").count() == 2000

@@ -4,8 +4,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from roadweave.checks.queries import registered
 from roadweave.operators import conform
 from roadweave.plans import corridors, county, countylines, lab, nodes, pavement
+from roadweave.sources.derived import Inputs
 from roadweave.sources.schemas import ROADLOG, SEC_SEGMENTS
 
 UNKNOWN = nodes.UNKNOWN_NODE
@@ -256,8 +258,8 @@ def test_county_line_placement(frame):
     segs = frame("corridor string, corridor_code_rb string, roadway string, frfpost_short double, trfpost_short double, dir string, lane int",
                  [("R", "RN", "x", 6.0, 8.0, "I", 1), ("R", "RN", "x", 4.0, 6.0, "I", 1), ("Q", "QN", "x", 4.0, 9.0, "I", 1)])
     span = lambda df: rows(df.select("beg_mi", "end_mi", "countyline"))
-    assert span(countylines.place_county_lines(lines, segs)) == [(6.0, 8.0, 5.0)]
-    assert span(countylines.place_county_lines(lines, segs, contains=True)) == [(4.0, 6.0, 5.0)]
+    assert span(countylines.place_county_lines(lines, segs)) == [(4.0, 6.0, 5.0)]
+    assert span(countylines.place_county_lines(lines, segs, contains=False)) == [(6.0, 8.0, 5.0)]
 
 
 def test_survey_matches(frame):
@@ -390,3 +392,59 @@ def test_distress_with_traffic_conditions(frame):
     right = frame("corridorrb string, aadt_per_mile double, sum_aadt bigint, sum_commercial double, sum_large_truck double, large_truck_ratio double, commercial_ratio double",
                   [(c, 1.0, 1, 1.0, 1.0, 1.0, 1.0) for c in ("C000015N", "A", "B", "D")])
     assert rows(pavement.distress_with_traffic(left, right).select("corridor_r")) == [("D",)]
+
+
+def test_long_forest_numbers_keep_their_digits(frame):
+    forest = frame("corridor bigint", [(1234567,), (700,), (600,)])
+    assert rows(corridors.forest_codes(forest, pad=6)) == [("C000700",), ("C1234567",)]
+
+
+def test_published_column_orders(frame, spark):
+    t = Inputs(spark, "/root/testdata/sf0.001")
+    south = countylines.match_survey_south(t["sec_file_south"], t["south_corr_rb"], t["south_descr"])
+    north = countylines.match_survey_north(t["sec_file_north"], t["north_corr_rb"], t["north_descr"])
+    assert south.columns[5:8] == ["coll_set", "direction", "lane"] and north.columns[5:8] == ["coll_set", "lane", "direction"]
+    assert county.facility_rollup(t["nursing_homes"]).columns[-5:] == [*county.FACILITY_RATES, *county.FACILITY_COUNTS[18:]]
+
+
+def test_survey_match_by_corridor_and_ambiguous_posts(frame):
+    survey = frame("frfpost double, trfpost double, seg_length double, coll_set string, lane int, direction string, c string",
+                   [(1.0, 2.0, 5.0, "a", 1, "I", "C2"), (3.0, 4.0, 6.0, "a", 1, "I", "C1")])
+    files = "corridor_code string, corridor_code_rb string, frfpost_short double, trfpost_short double, svylength double"
+    texts = "road_van string, from_descr string, to_descr string, frfpost_short double, trfpost_short double, svylength double"
+    corr = frame(files, [("C1", "C1N", 1.0, 2.0, 5.3), ("C2", "C2N", 1.0, 2.0, 5.3), ("C1", "C1N", 3.0, 4.0, 6.3)])
+    descr = frame(texts, [("v", "f", "t", 1.0, 2.0, 5.3), ("v", "f", "t", 3.0, 4.0, 6.3)])
+    for match, digits, ends in ((countylines.match_survey_north, 4, False), (countylines.match_survey_south, 3, True)):
+        codes = lambda **k: sorted(r.corridor_code for r in match(survey, corr, descr, **k).collect())
+        assert codes() == ["C1", "C1", "C2"] and codes(corridor="c") == ["C1", "C2"] and codes(expand=False) == ["C1"]
+        assert [r.corridors for r in countylines.ambiguous_posts(corr, digits, ends).collect()] == [2]
+
+
+def test_inputs_that_can_show_a_fault(spark):
+    """Facilities meet their counties, some samples conflict and some don't, some offsets are over ten miles."""
+    t = Inputs(spark, "/root/testdata/sf0.01")
+    preview = registered()["county_preview"](spark, "/root/testdata/sf0.01")
+    assert preview.where("County_Fips is not null and Number_of_All_Beds is not null").count() > 50
+    samples = registered()["lab_rows"](spark, "/root/testdata/sf0.01").select("smpl_id").distinct().count()
+    assert 0 < registered()["lab_conflicts"](spark, "/root/testdata/sf0.01").count() < samples
+    points = registered()["reference_points"](spark, "/root/testdata/sf0.01")
+    assert points.where("cast(substring_index(ref_point, '+', -1) as double) >= 10").count() > 0
+    assert t["roadlog"].where("nrlg_dept_length_mi <> floor(nrlg_dept_length_mi)").count() > 0
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_sums_do_not_depend_on_partitions(spark, parts):
+    log = Inputs(spark, "/root/testdata/sf0.001")["roadlog"].withColumn("nrlg_dept_length_mi", F.col("nrlg_dept_length_mi") / 7)
+    log = log.withColumn("nrlg_dept_route", F.lit("C1"))
+    spread = corridors.maintained_routes(log.repartition(parts, "nrlg_milepoint"))
+    assert rows(spread) == rows(corridors.maintained_routes(log))
+
+
+def scans(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_nodes_and_points_are_computed_once(spark):
+    """Scans in the plan, after the tables that the query writes first: at most half of those without."""
+    for name, most in (("segment_enriched", 6), ("survey_gap", 6), ("final_dataset", 7), ("final_dataset_addback", 12), ("corridor_extremes_literal", 12)):
+        assert scans(registered()[name](spark, "/root/testdata/sf0.001")) <= most, name

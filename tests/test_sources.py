@@ -55,9 +55,12 @@ def test_replace_table(spark, tmp_path):
     path = f"{tmp_path}/t"
     materialize(spark.range(3), path)
     assert replace_table(spark.range(7), path).count() == 7
-    with pytest.raises(ValueError, match="read from it"):
-        replace_table(spark.read.parquet(path).where("id > 1"), path)
-    assert spark.read.parquet(path).count() == 7
+    assert replace_table(spark.read.parquet(path).where("id > 1"), path, keys=["id"]).count() == 5
+    twice = spark.read.parquet(path).union(spark.read.parquet(path))
+    with pytest.raises(ValueError, match="violated"):
+        replace_table(twice, path, keys=["id"])
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
 def test_snapshot_prunes_columns(spark, tmp_path):
