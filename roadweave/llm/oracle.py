@@ -109,7 +109,7 @@ m as (
     from d left join rep using (r) left join dup using (r) left join gone using (r)
 )
 select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
-    not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - n_boilerplate_words >= 10
-        and 100 * (n_words - n_boilerplate_words) >= 50 * n_words as kept
+    not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) 
+        and (n_words - n_boilerplate_words >= 10 or 100 * (n_words - n_boilerplate_words) >= 50 * n_words) as kept
 from m
 """

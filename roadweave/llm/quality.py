@@ -107,8 +107,9 @@ def frequent_lines(
 def judged(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: the base measures, words in boilerplate lines, base_failed and kept.
 
-    Hosts are sources; null is a host. A document is kept if it passes the base rules and at least half of its words,
-    and ten, are left without boilerplate lines. Empty and null texts fail; an empty table gives an empty result.
+    Hosts are sources; null is a host. A document that passes the base rules is depleted, and goes, if fewer than ten
+    words and less than half of its words are left without boilerplate lines. Empty and null texts fail the base rules;
+    an empty table gives an empty result.
     """
     measures = materialize(text_measures(docs))
     common = frequent_lines(measures).select(F.col("host").alias("f_host"), F.col("line").alias("f_line"))
@@ -122,7 +123,7 @@ def judged(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     gone = F.coalesce("removed", F.lit(0))
     left = F.col("n_words") - gone
-    stays = (left >= MIN_WORDS) & (100 * left >= MIN_LEFT_PERCENT * F.col("n_words"))
+    stays = (left >= MIN_WORDS) | (100 * left >= MIN_LEFT_PERCENT * F.col("n_words"))
     return measures.drop("lines").join(removed, mine, "left").select(
         *key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         gone.alias("n_boilerplate_words"), (~failed & stays).alias("kept"),

@@ -40,7 +40,7 @@ def verdicts(docs):
         m = measures(text)
         gone = sum(len(words(x)) for x in lines[i] if len(seen[host, hashed(x)]) > 5 and 100 * len(seen[host, hashed(x)]) > 5 * len(texts[host]))
         left = m["n_words"] - gone
-        out.append(m | {"n_boilerplate_words": gone, "kept": not m["base_failed"] and left >= 10 and 100 * left >= 50 * m["n_words"]})
+        out.append(m | {"n_boilerplate_words": gone, "kept": not m["base_failed"] and (left >= 10 or 100 * left >= 50 * m["n_words"])})
     return out
 
 
