@@ -22,10 +22,13 @@ ROUNDS = 10
 # The patterns of candidates, tried in this order.
 EMAIL = r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![\w-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
+IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"
 DATE = r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
+CARD = (
+    r"(?<![\w-])(?:\d{13,19}|\d{4}(?:-\d{4}){3}(?:-\d{1,3})?|\d{4}(?: \d{4}){3}(?: \d{1,3})?"
+    r"|\d{4}-\d{6}-\d{5}|\d{4} \d{6} \d{5})(?![\w-])"
+)
 PHONE = r"(?<![\w.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<!\w)\+\d{9,15}(?!\w)"
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, IBAN, DATE, SSN, CARD, PHONE))
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"

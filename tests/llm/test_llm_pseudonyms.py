@@ -44,7 +44,7 @@ def made(spark, values, key=pii.KEY):
 
 
 def test_cards(spark):
-    cards = ["4041894974608795", "4041-8949-7460-8795", "4111 1111 1111 1111", "378282246310005", "4222222222222"]
+    cards = ["4041894974608795", "4041-8949-7460-8795", "4111 1111 1111 1111", "378282246310005", "3782 822463 10005", "4222222222222"]
     out = made(spark, cards)
     for was, now in zip(cards, out):
         assert luhn(re.sub(r"\D", "", now)) and re.sub(r"\d", "9", was) == re.sub(r"\d", "9", now) and was != now
@@ -135,6 +135,16 @@ def test_texts(spark):
     assert [(r["text"], r["n_values"], r["pseudonyms"]) for r in rows[2:]] == [(None, 0, []), ("", 0, []), ("nothing 12 here @ all", 0, [])]
 
 
+def test_neighbours_do_not_hide_a_value(spark):
+    values = ["4041894974608795", "DE89370400440532013000", "+1 (988) 555-2485", "42.144.35.254", "a.b@c.de", "2001-02-03"]
+    now = dict(zip(values, made(spark, values)))
+    for v in values:
+        texts = [f"12 {v} THES 345", f"x {v}$$$ | {v}. {v}, ({v})", f"{v} {values[0]} {v}\n{v}"]
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        want = [t.replace(v, "\0").replace(values[0], now[values[0]]).replace("\0", now[v]) for t in texts]
+        assert [r["text"] for r in by(pii.pseudonymised(frame), "doc_id")] == want
+
+
 def test_edges(spark):
     rows = by(pii.pseudonymised(edge_documents(spark)), "doc_id", "text")
     assert len(rows) == len(TEXTS)
