@@ -18,6 +18,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from roadweave.llm.bpe import runs
 from roadweave.llm.common import text_of
-from roadweave.llm.pretokens import known, pieces
+from roadweave.llm.pretokens import Coder, known
 from roadweave.sources.tables import materialize
 
 MAGIC = b"BPL1"
@@ -35,7 +36,6 @@ CHUNK_IDS = 1 << 16
 FILE_IDS = 1 << 22  # a file ends with the document that reaches so many ids
 LEVEL = 3
 PLANES = 32
-CACHE = 200_000
 _HEAD, _CHUNK = struct.Struct("<4sIII"), struct.Struct(f"<QII{PLANES}I")
 
 
@@ -111,27 +111,23 @@ def plain(text: str) -> bool:
     return text.isascii() or bool(known()[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].all())
 
 
-class LibraryCache(dict):
-    """Ids of a pre-token as the library encodes it; emptied when full.
+class Library:
+    """Ids of many pre-tokens as the tokenizers library encodes them.
 
     The library splits texts by the same pattern before it merges, so a pre-token's ids don't depend on the rest.
     Texts with code points that its Unicode tables may class differently are encoded as wholes.
     """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         self.tokenizer = _library(path)
 
-    def whole(self, text: str) -> list[int]:
-        return list(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def __missing__(self, piece: bytes) -> tuple[int, ...]:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = tuple(self.whole(piece.decode("utf-8")))
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+    def __call__(self, pieces_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch([p.decode() for p in pieces_], add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(counts.sum())), counts
 
 
 FILES = "part int, seq int, n_ids long, doc_ids array<long>, content binary"
@@ -141,7 +137,8 @@ def _writer(path: str, end_id: int, chunk_ids: int, file_ids: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, cache = TaskContext.get().partitionId(), LibraryCache(path)
+        part, library = TaskContext.get().partitionId(), Library(path)
+        coder = Coder(library)
         names, documents, held, seq = [], [], 0, 0
 
         def file() -> pa.RecordBatch:
@@ -154,15 +151,11 @@ def _writer(path: str, end_id: int, chunk_ids: int, file_ids: int):
         for batch in batches:
             ids, at = batch.column("doc_id").to_pylist(), 0
             for run in runs(batch.column("text").to_pylist()):
-                parts, counts = pieces(run)
-                found = list(map(cache.__getitem__, parts))
-                start = 0
-                for text, count in zip(run, counts.tolist()):
-                    own = [k for ids_ in found[start : start + count] for k in ids_] if plain(text) else cache.whole(text)
-                    own.append(end_id)
-                    start += count
+                coded, counts = coder.code(run)
+                for text, own in zip(run, np.split(coded, np.cumsum(counts)[:-1])):
+                    own = np.append(own if plain(text) else library.whole(text), end_id).astype("<u4")
                     names.append(ids[at])
-                    documents.append(np.array(own, dtype="<u4"))
+                    documents.append(own)
                     at += 1
                     held += len(own)
                     if held >= file_ids:

@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadweave.llm.lookup import Lookup
 from roadweave.sources.tables import materialize
 
 ORDER = 4
-SAMPLE_BYTES = 4_000_000  # of training text, over all languages; the model's size follows from it
+SAMPLE_BYTES = 2_000_000  # of training text, over all languages; the model's size follows from it
 PAD = b"\n" * ORDER
 CHUNK_BYTES = 1 << 20
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _grams(data: np.ndarray, length: int) -> np.ndarray:
@@ -58,42 +58,12 @@ def count_grams(texts: list[bytes]) -> pd.DataFrame:
     return pd.concat(out)
 
 
-class Table:
-    """Rows of grams of one length, found by open addressing."""
+class Table(Lookup):
+    """Grams of one length, each with its cost under every language."""
 
     def __init__(self, grams: np.ndarray, cost: np.ndarray) -> None:
-        bits = max(8, int(np.ceil(np.log2(max(1, len(grams)) * 3))))
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        super().__init__(grams)
         self.cost = cost.astype(np.float32)
-        self.keys = np.zeros(1 << bits, dtype=np.uint64)
-        self.rows = np.full(1 << bits, -1, dtype=np.int32)
-        left = np.arange(len(grams))
-        at = self._home(grams)
-        while len(left):
-            free = self.rows[at] < 0
-            spot, first = np.unique(at[free], return_index=True)
-            won = left[free][first]
-            self.rows[spot], self.keys[spot] = won, grams[won]
-            stay = np.ones(len(left), dtype=bool)
-            stay[np.flatnonzero(free)[first]] = False
-            left, at = left[stay], (at[stay] + 1) & self.mask
-
-    def _home(self, grams: np.ndarray) -> np.ndarray:
-        return ((grams * _SPREAD) >> self.shift).astype(np.int64)
-
-    def find(self, grams: np.ndarray) -> np.ndarray:
-        """Rows of the grams, -1 where there is none."""
-        at = self._home(grams)
-        out = self.rows[at]
-        other = np.flatnonzero((out >= 0) & (self.keys[at] != grams))
-        at = at[other]
-        while len(other):
-            at = (at + 1) & self.mask
-            row = self.rows[at]
-            out[other] = row
-            more = (row >= 0) & (self.keys[at] != grams[other])
-            other, at = other[more], at[more]
-        return out
 
 
 @dataclass
