@@ -6,9 +6,10 @@ that share the first ``BASE`` hashes form a region. In a region of at most ``FUL
 A larger one goes deeper: there, the candidates are the ``NEAR`` next in sorted order, which share the longest
 prefixes, and the member closest to all. A sketch of all hashes, two bits each, drops pairs that can't be similar.
 
-Candidates are confirmed on whole sets, first each representative's best one. Candidates within a component so found
-need no look; others are confirmed too. What a large region has besides its largest component is compared with
-the whole region, in blocks, so that going deeper loses no link.
+Candidates are confirmed on whole sets, first each representative's best ones. Candidates of a small region that a
+component so found doesn't hold together are confirmed too. What a large region has besides its largest component is
+compared with the whole region, set by set, in blocks; so going deeper loses no link, and a block gives no more links
+than join its components.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ HASHES = TREES * DEPTH
 FULL, NEAR = 32, 4
 MATCHES = 84  # of 128 two-bit hashes: six standard deviations below the mean of a similarity of 0.8
 BUFFER = 50_000
-BLOCK = 2048
+BLOCK = 400_000  # shingles in a block of a large region, about
 WORD_CACHE = 300_000
 NO_ID = (1 << 62) + (1 << 61)  # representatives without doc_id get numbers from here
 REGION = 1 + 4 * BASE
@@ -182,19 +183,21 @@ class _Rows:
         return len(self.rep)
 
 
-CANDIDATES = "a long, b long, matches long, region binary, n_shingles long, sketch binary"
+# what a pair comes from
+SMALL_REGION, NEXT, MIDDLE = range(3)
+CANDIDATES = "a long, b long, matches long, kind long, region binary, n_shingles long"
 
 
-def _pairs(rows: _Rows, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+def _pairs(rows: _Rows, i: np.ndarray, j: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, ...]:
     fits = alike(rows.size[i], rows.size[j])
-    i, j = i[fits], j[fits]
+    i, j, kind = i[fits], j[fits], kind[fits]
     score = matches(rows.sketch[i], rows.sketch[j])
     good = (score >= MATCHES) & (rows.rep[i] != rows.rep[j])
     a, b = rows.rep[i[good]], rows.rep[j[good]]
-    return np.minimum(a, b), np.maximum(a, b), score[good]
+    return np.minimum(a, b), np.maximum(a, b), score[good], kind[good]
 
 
-def _candidates_in(rows: _Rows, large: bool = False) -> Iterator[pa.RecordBatch]:
+def _candidates_in(rows: _Rows, full: int, near: int, large: bool = False) -> Iterator[pa.RecordBatch]:
     """Pairs of whole regions, and the members of large ones. ``large``: rows is a part of one large region."""
     n = len(rows)
     new = np.append(True, (rows.key[1:] != rows.key[:-1]).any(axis=1))
@@ -202,76 +205,101 @@ def _candidates_in(rows: _Rows, large: bool = False) -> Iterator[pa.RecordBatch]
     sizes = np.bincount(region)
     mine = sizes[region]
     open_ = np.flatnonzero(mine > 1)
-    big = (mine > FULL) | large
+    big = (mine > full) | large
     found = []
-    for step in range(1, FULL):
+    for step in range(1, max(full, near + 1)):
         open_ = open_[open_ + step < n]
-        open_ = open_[(region[open_] == region[open_ + step]) & ((step <= NEAR) | ~big[open_])]
+        open_ = open_[(region[open_] == region[open_ + step]) & ((step <= near) | ~big[open_])]
         if not len(open_):
             break
-        found.append(_pairs(rows, open_, open_ + step))
+        found.append(_pairs(rows, open_, open_ + step, np.where(big[open_], NEXT, SMALL_REGION)))
     starts = np.flatnonzero(new)
     for r in np.unique(region[big]) if big.any() else ():
         own = np.arange(starts[r], starts[r] + sizes[r])
         bits = np.unpackbits(rows.sketch[own].view(np.uint8), axis=1)
         usual = np.packbits(bits.mean(axis=0) >= 0.5).view(np.uint64)
         middle = own[np.argmax(matches(rows.sketch[own], usual[None, :]))]
-        found.append(_pairs(rows, np.full(len(own), middle), own))
+        found.append(_pairs(rows, np.full(len(own), middle), own, np.full(len(own), MIDDLE)))
     if found:
-        a, b, score = (np.concatenate(x) for x in zip(*found))
-        none = pa.nulls(len(a), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a), pa.array(b), pa.array(score), none, pa.nulls(len(a), pa.int64()), none], names=_NAMES
-        )
+        a, b, score, kind = (pa.array(np.concatenate(x)) for x in zip(*found))
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([a, b, score, kind, pa.nulls(len(a), pa.binary()), none], names=_NAMES)
     if big.any():
         own = rows.part(big)
-        m = len(own)
+        none = pa.nulls(len(own), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(own.rep), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), _binary(own.key), pa.array(own.size), _binary(own.sketch.view(np.uint8))],
-            names=_NAMES,
+            [pa.array(own.rep), none, none, none, _binary(own.key), pa.array(own.size)], names=_NAMES
         )
 
 
-_NAMES = ["a", "b", "matches", "region", "n_shingles", "sketch"]
+_NAMES = ["a", "b", "matches", "kind", "region", "n_shingles"]
+
+
+def _scanner(full: int, near: int, buffer: int):
+    """Over rows in sorted order: a region is worked on once its end is seen, one that outgrows the buffer in parts."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: _Rows | None = None
+        inside = False  # held belongs to a large region of which a part is done
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = _Rows.of(batch)
+            held = rows if held is None else rows.after(held)
+            ended = np.flatnonzero((held.key != held.key[-1]).any(axis=1))
+            cut = int(ended[-1]) + 1 if len(ended) else 0
+            if cut:
+                first = int(np.flatnonzero((held.key != held.key[0]).any(axis=1))[0]) if inside else 0
+                if first:
+                    yield from _candidates_in(held.part(slice(0, first)), full, near, large=True)
+                if first < cut:
+                    yield from _candidates_in(held.part(slice(first, cut)), full, near)
+                held, inside = held.part(slice(cut, None)), False
+            if len(held) > buffer:
+                yield from _candidates_in(held, full, near, large=True)
+                held, inside = held.part(slice(-near, None)), True
+        if held is not None:
+            yield from _candidates_in(held, full, near, large=inside)
 
+    return work
 
-def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: _Rows | None = None
-    inside = False  # held belongs to a large region of which a part is done
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cache = _Words()
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = _Rows.of(batch)
-        held = rows if held is None else rows.after(held)
-        last = (held.key != held.key[-1]).any(axis=1)
-        cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
-        if cut:
-            first = int(np.flatnonzero((held.key != held.key[0]).any(axis=1))[0]) if inside else 0
-            if first:
-                yield from _candidates_in(held.part(slice(0, first)), large=True)
-            if first < cut:
-                yield from _candidates_in(held.part(slice(first, cut)))
-            held, inside = held.part(slice(cut, None)), False
-        if len(held) > BUFFER:
-            yield from _candidates_in(held, large=True)
-            held, inside = held.part(slice(-NEAR, None)), True
-    if held is not None:
-        yield from _candidates_in(held, large=inside)
-
-
-def _compared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components between a block of those outside and a block of a region."""
+        items = [shingles(text.as_py(), cache).tobytes() for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(items, pa.binary())], names=["rep", "items"])
+
+
+def _joining(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links that join the components of a block of those outside with those of a block of their region.
+
+    One row of the left block against all of the right one is a look at each of the right block's shingles. Labels
+    that a link has joined count as one from there on, so there are fewer links than labels.
+    """
     left, right = rows[rows["outside"]], rows[~rows["outside"]]
-    out = {"a": [], "b": []}
+    out: dict[str, list[int]] = {"a": [], "b": []}
     if len(left) and len(right):
-        pack = lambda x: np.frombuffer(b"".join(x["sketch"]), dtype=np.uint64).reshape(len(x), -1)
-        theirs, size, rep, label = pack(right), right["n_shingles"].to_numpy(), right["rep"].to_numpy(), right["label"].to_numpy()
-        for row, sketch in zip(left.itertuples(), pack(left)):
-            at = np.flatnonzero((label != row.label) & alike(size, row.n_shingles))
-            at = at[matches(theirs[at], sketch[None, :]) >= MATCHES]
-            out["a"].append(np.minimum(rep[at], row.rep))
-            out["b"].append(np.maximum(rep[at], row.rep))
-    return pd.DataFrame({k: np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for k, v in out.items()})
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in right["items"]]
+        size = np.array([len(x) for x in sets])
+        vocabulary, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(size) - size
+        names, label = np.unique(np.concatenate([left["label"], right["label"]]), return_inverse=True)
+        root = np.arange(len(names))
+        theirs, rep = label[len(left) :], right["rep"].to_numpy()
+        for own_rep, own_label, items in zip(left["rep"], label, left["items"]):
+            own = np.frombuffer(items, dtype=np.uint64)
+            at = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
+            mark = np.zeros(len(vocabulary), dtype=np.int64)
+            mark[at[vocabulary[at] == own]] = 1
+            common = np.add.reduceat(mark[codes], starts)
+            linked = 100 * common >= PERCENT * (size + len(own) - common)
+            for k in np.flatnonzero(linked & (root[theirs] != root[own_label])):
+                if root[theirs[k]] != root[own_label]:
+                    root[root == root[theirs[k]]] = root[own_label]
+                    out["a"].append(min(own_rep, rep[k]))
+                    out["b"].append(max(own_rep, rep[k]))
+    return pd.DataFrame(out, dtype="int64")
 
 
 def _labelled(frame: DataFrame, labels: DataFrame, column: str, to: str) -> DataFrame:
@@ -280,22 +308,26 @@ def _labelled(frame: DataFrame, labels: DataFrame, column: str, to: str) -> Data
     return frame.join(named, column, "left").withColumn(to, F.coalesce("_label", column)).drop("_label")
 
 
-def _outside_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs of large regions with one end outside the region's largest component."""
+def _outside_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of large regions from outside the region's largest component, enough to join what is linked."""
     rows = materialize(_labelled(members, labels, "rep", "label"))
-    counts = rows.groupBy("region", "label").agg(F.count("*").alias("n"))
-    main = counts.groupBy("region").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"))
-    known = rows.join(main, "region")
-    out = known.where("label <> main")
-    counted = out.groupBy("region").agg(F.count("*").alias("outside"))
+    counts = rows.groupBy("region", "label").agg(F.sum("n_shingles").alias("n"))
+    totals = counts.groupBy("region").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("inside"), F.count("*").alias("labels")
+    )
+    # regions of one component are done with
+    known = rows.join(totals.where("labels > 1"), "region").withColumn("outside_n", F.col("all") - F.col("inside"))
+    known = materialize(known)
+    sets = materialize(texts.join(known.select("rep").distinct(), "rep", "left_semi").mapInArrow(_items, "rep long, items binary"))
+    known = known.join(sets, "rep")
     blocks = lambda total: F.greatest(F.ceil(F.col(total) / BLOCK), F.lit(1)).cast("long")
     every = lambda total: F.sequence(F.lit(0).cast("long"), blocks(total) - 1)
     mine = lambda total: F.pmod(F.xxhash64("rep"), blocks(total))
-    cols = ["region", "i", "j", "rep", "n_shingles", "sketch", "label"]
-    out, known = out.join(counted, "region"), known.join(counted, "region")
-    left = out.withColumn("i", mine("outside")).withColumn("j", F.explode(every("all"))).select(*cols, F.lit(True).alias("outside"))
-    right = known.withColumn("j", mine("all")).withColumn("i", F.explode(every("outside"))).select(*cols, F.lit(False).alias("outside"))
-    return left.unionByName(right).groupBy("region", "i", "j").applyInPandas(_compared, "a long, b long").distinct()
+    cols = ["region", "i", "j", "rep", "items", "label"]
+    left = known.where("label <> main").withColumn("i", mine("outside_n")).withColumn("j", F.explode(every("all")))
+    right = known.withColumn("j", mine("all")).withColumn("i", F.explode(every("outside_n")))
+    both = left.select(*cols, F.lit(True).alias("outside")).unionByName(right.select(*cols, F.lit(False).alias("outside")))
+    return both.groupBy("region", "i", "j").applyInPandas(_joining, "a long, b long").distinct()
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,6 +344,17 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
 
+def _best(pairs: DataFrame) -> DataFrame:
+    """Of each representative, its likeliest partner, and its likeliest among the middle members of large regions."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("e"), "matches", "most")
+    score = F.struct("matches", F.col("e.y").alias("y"))
+    chosen = ends.groupBy("e.x").agg(
+        F.max(score)["y"].alias("likely"), F.max(F.when(F.col("most") == MIDDLE, score))["y"].alias("middle")
+    )
+    each = chosen.select("x", F.explode(F.array("likely", "middle")).alias("y")).where("y is not null")
+    return each.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough; ``texts``: rep, text."""
     first = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
@@ -329,9 +372,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     rows = materialize(signed(docs))
     reps = materialize(representatives(rows))
-    found = materialize(forest(reps).mapInArrow(_scanned, CANDIDATES))
-    pairs = materialize(found.where("b is not null").groupBy("a", "b").agg(F.max("matches").alias("matches")))
-    members = found.where("region is not null").select("region", F.col("a").alias("rep"), "n_shingles", "sketch").distinct()
+    found = materialize(forest(reps).mapInArrow(_scanner(FULL, NEAR, BUFFER), CANDIDATES))
+    pairs = materialize(
+        found.where("b is not null").groupBy("a", "b").agg(
+            F.max("matches").alias("matches"), F.min("kind").alias("least"), F.max("kind").alias("most")
+        )
+    )
+    members = found.where("region is not null").select("region", F.col("a").alias("rep"), "n_shingles").distinct()
 
     nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(members.select("rep")).distinct()
     places = reps.select("rep", F.col("rep_id").alias("_rep_id"), F.col("text_key").alias("_text_key")).join(nodes, "rep", "left_semi")
@@ -339,13 +386,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     here = F.col("doc_id").eqNullSafe(F.col("_rep_id")) & (F.col("text_key") == F.col("_text_key"))
     texts = materialize(written.join(places, here).select("rep", "text").dropDuplicates(["rep"]))
 
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct(F.col("matches"), -F.col("a"))).alias("a")).select("a", "b")
-    best = materialize(best)
-    links = materialize(confirm(best, texts))
-    labels = components(links)
-    apart = _labelled(_labelled(pairs.select("a", "b"), labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b")
-    rest = apart.unionByName(_outside_pairs(members, labels)).distinct().join(best, ["a", "b"], "left_anti")
-    more = materialize(confirm(materialize(rest), texts))
+    links = materialize(confirm(_best(pairs), texts))
+    labels = materialize(components(links))
+    apart = _labelled(_labelled(pairs.where(F.col("least") == SMALL_REGION), labels, "a", "la"), labels, "b", "lb")
+    rest = apart.where("la <> lb").join(_best(pairs), ["a", "b"], "left_anti").select("a", "b")
+    more = materialize(confirm(rest, texts).unionByName(_outside_links(members, labels, texts)))
     # links between components join them; most often there are none
     across = _labelled(_labelled(more, labels, "a", "la"), labels, "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     joined = components(across)

