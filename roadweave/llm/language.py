@@ -157,12 +157,14 @@ def training_sample(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFr
         F.col("lang").cast("string").alias("lang"), F.octet_length(text).cast("long").alias("size"),
         F.md5(F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5("text"))).alias("key"), text.cast("binary").alias("text"),
     )
-    sizes = rows.groupBy("lang").agg(F.sum("size").alias("all"))
-    share = F.lit(sample_bytes) / F.greatest(sizes.agg(F.count("*").alias("n")).scalar(), F.lit(1))
-    part = sizes.select(F.col("lang").alias("s_lang"), (share / F.col("all")).alias("part"), share.alias("share"))
-    # a thinned selection first, so that what is put in order is bounded
-    thin = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") < F.col("part") * F.lit(4 * (1 << 32))
-    near = rows.join(part, F.col("lang") == F.col("s_lang")).where(thin & (F.col("size") * 8 <= F.col("share")))
+    # one entry per language, looked up where the rows are, so that only the thinned selection is shuffled
+    sizes = rows.groupBy("lang").agg(F.sum("size").alias("all")).agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", "all"))).alias("sizes")
+    ).scalar()
+    share = F.lit(sample_bytes) / F.greatest(F.size(sizes), F.lit(1))
+    part = share / F.element_at(sizes, F.col("lang"))
+    thin = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") < part * F.lit(4 * (1 << 32))
+    near = rows.where(thin & (F.col("size") * 8 <= share)).withColumn("share", share)
     before = Window.partitionBy("lang").orderBy("key", "size")
     return near.withColumn("used", F.sum("size").over(before)).where("used <= share").select("lang", "text")
 
