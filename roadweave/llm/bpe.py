@@ -18,6 +18,7 @@ from roadweave.llm.common import text_of
 from roadweave.llm.lookup import Lookup
 from roadweave.llm.pretokens import Coder
 
+REMEMBERED = 250_000  # pre-tokens a worker remembers, about
 CHUNK_CHARS = 1_000_000  # texts are worked on in runs of about so many code points
 
 
@@ -152,7 +153,7 @@ def runs(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[list[str]]:
 def _encoder(path: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = ranks(path)
-        coder = Coder(Merger(rank))
+        coder = Coder(Merger(rank), REMEMBERED)
         lengths = np.zeros(max(rank.values()) + 1, dtype=np.int32)
         for token, k in rank.items():
             lengths[k] = len(token)
