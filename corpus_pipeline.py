@@ -15,15 +15,15 @@ from roadweave.llm.common import documents, vocabulary, with_workers
 from roadweave.llm.curriculum import training_order
 from roadweave.llm.exact_dedup import without_duplicates
 from roadweave.llm.near_dedup import one_of_each
-from roadweave.llm.quality import passing
+from roadweave.llm.quality import cleaned
 from roadweave.sources.tables import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and keep enough words without boilerplate lines."""
-    return passing(docs)
+    """Documents that pass the base rules and keep enough words, without their boilerplate lines."""
+    return cleaned(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

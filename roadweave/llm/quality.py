@@ -22,6 +22,14 @@ MIN_LEFT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
 
+def _normal(line: Column) -> Column:
+    return F.lower(F.regexp_replace(F.btrim(line, F.lit(SPACES)), SPACE, " "))
+
+
+def _line_key(normal: Column) -> Column:
+    return F.substring(F.md5(normal), 1, 16)
+
+
 def _tail(array: str, start: int) -> Column:
     return F.slice(array, start, F.greatest(F.size(array), F.lit(1)))
 
@@ -72,14 +80,14 @@ def text_measures(docs: DataFrame) -> DataFrame:
     frame = _repeated_words(frame)
     lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     frame = frame.withColumn("_lines", lines)
-    normal = F.transform("_lines", lambda x: F.lower(F.regexp_replace(F.btrim(x, F.lit(SPACES)), SPACE, " ")))
+    normal = F.transform("_lines", _normal)
     return frame.select(
         "doc_id", "host", F.md5("_text").alias("text_key"), F.size("_words").cast("long").alias("n_words"),
         F.length(F.translate("_text", SPACES, "")).cast("long").alias("word_chars"),
         (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
-        F.transform(normal, lambda x: F.struct(F.substring(F.md5(x), 1, 16).alias("line"), word_count(x).alias("words"))).alias("lines"),
+        F.transform(normal, lambda x: F.struct(_line_key(x).alias("line"), word_count(x).alias("words"))).alias("lines"),
     )
 
 
@@ -104,13 +112,8 @@ def frequent_lines(
     return some.join(sizes, F.col("host").eqNullSafe(F.col("h_host"))).where(over).select("host", "line", "n_documents")
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: the base measures, words in boilerplate lines, base_failed and kept.
-
-    Hosts are sources; null is a host. A document that passes the base rules is depleted, and goes, if fewer than ten
-    words and less than half of its words are left without boilerplate lines. Empty and null texts fail the base rules;
-    an empty table gives an empty result.
-    """
+def _judged(docs: DataFrame) -> DataFrame:
+    """``judged`` with the digests of each document's boilerplate lines, null where it has none."""
     measures = materialize(text_measures(docs))
     common = frequent_lines(measures).select(F.col("host").alias("f_host"), F.col("line").alias("f_line"))
     key = ["doc_id", "host", "text_key"]
@@ -118,7 +121,7 @@ def judged(docs: DataFrame) -> DataFrame:
     hit = F.col("host").eqNullSafe(F.col("f_host")) & (F.col("line") == F.col("f_line"))
     removed = lines.select(*key, "x.line", "x.words").join(common, hit).groupBy(
         F.col("doc_id").alias("r_id"), F.col("host").alias("r_host"), F.col("text_key").alias("r_key")
-    ).agg(F.sum("words").alias("removed"))
+    ).agg(F.sum("words").alias("removed"), F.collect_set("line").alias("gone_lines"))
     mine = F.col("doc_id").eqNullSafe(F.col("r_id")) & F.col("host").eqNullSafe(F.col("r_host")) & (F.col("text_key") == F.col("r_key"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     gone = F.coalesce("removed", F.lit(0))
@@ -126,10 +129,20 @@ def judged(docs: DataFrame) -> DataFrame:
     stays = (left >= MIN_WORDS) | (100 * left >= MIN_LEFT_PERCENT * F.col("n_words"))
     return measures.drop("lines").join(removed, mine, "left").select(
         *key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        gone.alias("n_boilerplate_words"), (~failed & stays).alias("kept"),
+        gone.alias("n_boilerplate_words"), (~failed & stays).alias("kept"), "gone_lines",
     )
 
 
+def judged(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: the base measures, words in boilerplate lines, base_failed and kept.
+
+    Hosts are sources; null is a host. A document that passes the base rules is depleted, and goes, if fewer than ten
+    words and less than half of its words are left without boilerplate lines. Empty and null texts fail the base rules;
+    an empty table gives an empty result.
+    """
+    return _judged(docs).drop("gone_lines")
+
+
 def passing(docs: DataFrame) -> DataFrame:
     """``docs`` without rejected documents, columns as given."""
     bad = judged(docs).where("not kept").select(F.col("doc_id").alias("_bad_id"), F.col("host").alias("_bad_host"), F.col("text_key").alias("_bad_key"))
@@ -139,3 +152,28 @@ def passing(docs: DataFrame) -> DataFrame:
         & (F.col("_bad_text") == F.col("_bad_key"))
     )
     return marked.join(bad, same, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """``docs`` without rejected documents and without the boilerplate lines of the others, columns as given.
+
+    The lines that stay are the original ones, in order, blank ones included; a text without boilerplate is not touched.
+    Where a text is, n_chars, if there is such a column, is its new length.
+    """
+    key = {"_bad_id": "doc_id", "_bad_host": "host", "_bad_key": "text_key"}
+    marks = _judged(docs).where(~F.col("kept") | F.col("gone_lines").isNotNull()).select(
+        *(F.col(c).alias(n) for n, c in key.items()), F.col("kept").alias("_bad_kept"), F.col("gone_lines").alias("_bad_lines")
+    ).dropDuplicates(list(key))
+    marked = docs.withColumn("_bad_text", F.md5(text_of()))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_bad_id")) & F.col("source").cast("string").eqNullSafe(F.col("_bad_host"))
+        & (F.col("_bad_text") == F.col("_bad_key"))
+    )
+    stays = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_bad_lines", _line_key(_normal(x))))
+    left = F.when(F.col("_bad_lines").isNotNull(), F.array_join(stays, "\n")).otherwise(F.col("text"))
+    out = marked.join(marks, same, "left").where(F.coalesce("_bad_kept", F.lit(True))).withColumn("_bad_left", left)
+    new = {"text": F.col("_bad_left")}
+    if "n_chars" in docs.columns:
+        size = F.length("_bad_left").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("_bad_lines").isNotNull(), size).otherwise(F.col("n_chars"))
+    return out.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))

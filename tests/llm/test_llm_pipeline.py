@@ -67,6 +67,13 @@ def test_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "near_dedup", "curriculum_mix", "byte_bpe"]
 
 
+def test_boilerplate_does_not_reach_later_stages(spark):
+    banner = "Read more of our stories every day and tell your friends about them"
+    docs = [(i, f"{banner}\n" + " ".join(f"w{i}q{k}" for k in range(14)), "h") for i in range(20)]
+    out = corpus_pipeline.quality(spark, spark.createDataFrame(docs, "doc_id long, text string, source string"), "")
+    assert {r.doc_id: r.text for r in out.collect()} == {i: t.partition("\n")[2] for i, t, _ in docs}
+
+
 @pytest.mark.parametrize("make", [edge_documents, no_documents])
 def test_edges_through_all_stages(spark, make, tmp_path):
     """Nulls, odd texts, repeated rows and clashing columns pass through; every stage but the last keeps the columns."""

@@ -79,6 +79,19 @@ def test_boilerplate_goes_and_depleted_documents_with_it(spark):
     assert kept == {*range(40), 200, 201, 202}
 
 
+def test_kept_documents_lose_their_boilerplate_lines(spark):
+    banner = "Subscribe now to our newsletter and never miss any of the great offers we make to all readers"
+    docs = [(i, f"{banner}\n{own_line(i)}\n\n  {banner.upper()} \nMy  {own_line(i + 1000)}", "h", -1, "k") for i in range(40)]
+    docs += [(100, f"{banner}\nfew words", "h", -1, "k"), (200, f"{banner}\n{own_line(1)}", "other", -1, "k"), (201, None, "other", None, "k")]
+    docs += [(i, own_line(i), "h", -1, "k") for i in (300, 300)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars int, kept string")
+    out = quality.cleaned(frame)
+    assert out.schema == frame.schema
+    want = [(i, f"{own_line(i)}\n\nMy  {own_line(i + 1000)}", "h", "k") for i in range(40)]
+    want = [(*r[:3], len(r[1]), r[3]) for r in want] + [docs[41], *docs[43:]]
+    assert [tuple(r.values()) for r in by(out, "doc_id")] == want
+
+
 def test_copies_do_not_make_each_other_boilerplate(spark):
     """Exact copies, and near copies in which one line differs, keep their lines."""
     shared = [own_line(k) for k in range(8)]
