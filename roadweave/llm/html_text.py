@@ -3,8 +3,8 @@
 Markup is stripped into lines, one per block. Of every line the length of its text counts, without links. Sums over
 windows of ``WINDOW`` lines show where text is dense: a region begins at a surge, the first line whose window's sum
 reaches ``SURGE``, and ends at a dive, where the lines run out of text. Lines of the regions that hold the page's text
-are kept. What markup itself says bends the distribution: lines in an article or main element weigh enough to surge
-alone, lines in menus, headers, footers, sidebars, notices, adverts, forms or comments weigh nothing and end a region.
+are kept. What markup itself says bends the distribution: lines in article or main elements that hold most of the text
+weigh ``BONUS`` more, lines in menus, headers, footers, sidebars, notices, adverts, forms or comments weigh nothing.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from roadweave.llm.common import text_of
 
 WINDOW = 3
 SURGE = 120
+BONUS = 40  # weight of being in an article or main element: any WINDOW of its lines surges
 SHARE = 0.25  # a region counts if it has so much of the text of the largest
 LINKED = 0.5  # a line with more of its text in links is a menu
 
@@ -142,40 +143,51 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def kept_lines(lines: list[tuple[str, int, bool, bool]]) -> list[str]:
-    """The lines between surges and dives."""
-    if not lines:
+def _regions(weight: np.ndarray) -> list[tuple[int, int]]:
+    """From each surge to the dive after it: (first, behind the last)."""
+    if not len(weight):
         return []
-    has_main = any(m and not x for _, _, m, x in lines)
-    length = np.array([len(text) for text, _, _, _ in lines], dtype=np.int64)
-    linked = np.array([n for _, n, _, _ in lines], dtype=np.int64)
-    menu = linked > LINKED * length
-    noise = np.array([x for _, _, _, x in lines])
-    main = np.array([m for _, _, m, _ in lines])
-    weight = np.where(noise, 0, np.where(menu, 0, length - np.minimum(linked, length)))
-    if has_main:  # the page says where its article is: there, every line surges, elsewhere none does
-        weight = np.where(main & ~noise, np.maximum(weight, 1) + SURGE, 0)
-    blocked = noise | (weight == 0) if has_main else noise
-    sums = np.convolve(np.where(blocked, 0, weight), np.ones(WINDOW, dtype=np.int64))[WINDOW - 1 :]
+    sums = np.convolve(weight, np.ones(WINDOW, dtype=np.int64))[WINDOW - 1 :]
     regions: list[tuple[int, int]] = []
-    at, n = 0, len(lines)
+    at, n = 0, len(weight)
     while at < n:
-        if blocked[at] or weight[at] == 0 or sums[at] < SURGE:
+        if weight[at] == 0 or sums[at] < SURGE:
             at += 1
             continue
         end = at
-        while end < n and not blocked[end] and sums[end] > 0:
+        while end < n and sums[end] > 0:
             end += 1
-        while end > at and weight[end - 1] == 0:
-            end -= 1
         regions.append((at, end))
-        at = end + 1 if end < n and not blocked[end] else max(end, at + 1)
-    if not regions:  # a page of few words: its densest run
-        chosen = np.flatnonzero(weight > 0)
-        return [lines[i][0] for i in chosen]
-    totals = [int(weight[a:b].sum()) for a, b in regions]
-    most = max(totals)
-    return [lines[i][0] for (a, b), t in zip(regions, totals) if has_main or t >= SHARE * most for i in range(a, b) if weight[i] > 0 or not menu[i]]
+        at = end + 1
+    return regions
+
+
+def kept_lines(lines: list[tuple[str, int, bool, bool]]) -> list[str]:
+    """The lines between surges and dives.
+
+    Lines in article or main elements and the others are two sequences, each with windows of its own, so that teasers
+    beside an article don't join it. If the elements hold most of the page's text, their lines weigh ``BONUS`` more.
+    """
+    if not lines:
+        return []
+    length = np.array([len(text) for text, _, _, _ in lines], dtype=np.int64)
+    linked = np.array([n for _, n, _, _ in lines], dtype=np.int64)
+    menu = linked > LINKED * length
+    noise = np.array([x for _, _, _, x in lines])
+    main = np.array([m for _, _, m, _ in lines])
+    weight = np.where(noise | menu, 0, length - np.minimum(linked, length))
+    if has_main := bool((main & ~noise).any() and 2 * weight[main].sum() >= weight.sum()):
+        weight = np.where(main & ~noise, weight + BONUS, weight)
+    found: list[tuple[int, bool, np.ndarray]] = []
+    for inside in (True, False):
+        at = np.flatnonzero(main == inside)
+        for a, b in _regions(weight[at]):
+            found.append((int(weight[at[a:b]].sum()), inside, at[a:b]))
+    if not found:  # a page of few words: its densest run
+        return [lines[i][0] for i in np.flatnonzero(weight > 0)]
+    most = max(total for total, _, _ in found)
+    chosen = [at for total, inside, at in found if (has_main and inside) or total >= SHARE * most]
+    return [lines[i][0] for i in np.sort(np.concatenate(chosen)) if weight[i] > 0 or not (noise[i] or menu[i])]
 
 
 def main_text(page: str) -> str:

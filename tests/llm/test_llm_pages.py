@@ -56,6 +56,21 @@ def test_lines_without_any_structure():
     assert text.endswith("\n".join(ARTICLE)) and "Home" not in text
 
 
+TEASERS = "".join(f"<article><h3>Teaser {i}</h3><p>Some words about another story, number {i}.</p></article>" for i in range(3))
+
+
+@pytest.mark.parametrize("body", [f"<div class='story'><h1>Head</h1>{{}}</div>{TEASERS}", f"{TEASERS}<div class='story'><h1>Head</h1>{{}}</div>"])
+def test_teasers_in_article_elements_are_not_the_article(body):
+    assert html_text.main_text(page(body.format(paragraphs()))) == "\n".join(["Head", *ARTICLE])
+
+
+def test_windows_decide_on_pages_with_an_article_element():
+    """Dense text beside the article surges; lone short lines don't."""
+    body = f"<article><h1>Head</h1>{paragraphs()}</article><hr><div>{paragraphs(ARTICLE[::-1])}</div>"
+    assert html_text.main_text(page(body)) == "\n".join(["Head", *ARTICLE, *ARTICLE[::-1]])
+    assert html_text.main_text(page(f"<div>Lone words</div><article>{paragraphs()}</article><div>More</div>")) == "\n".join(ARTICLE)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from(list("<>/!-\"'= apdivrtcle&;#x\n")), max_size=80))
 def test_any_markup_is_read(text):
