@@ -4,7 +4,7 @@ Markup is stripped into lines, one per block. Of every line the length of its te
 windows of ``WINDOW`` lines show where text is dense: a region begins at a surge, the first line whose window's sum
 reaches ``SURGE``, and ends at a dive, where the lines run out of text. Lines of the regions that hold the page's text
 are kept. What markup itself says bends the distribution: lines in article or main elements that hold most of the text
-weigh ``BONUS`` more, lines in menus, headers, footers, sidebars, notices, adverts, forms or comments weigh nothing.
+weigh ``BONUS`` more, lines in menus, headers, footers, sidebars, notices, adverts, forms or comments are cut out.
 """
 
 from __future__ import annotations
@@ -165,8 +165,9 @@ def _regions(weight: np.ndarray) -> list[tuple[int, int]]:
 def kept_lines(lines: list[tuple[str, int, bool, bool]]) -> list[str]:
     """The lines between surges and dives.
 
-    Lines in article or main elements and the others are two sequences, each with windows of its own, so that teasers
-    beside an article don't join it. If the elements hold most of the page's text, their lines weigh ``BONUS`` more.
+    Noise is cut out before the windows run, so what it interrupts stays together. Lines in article or main elements
+    and the others are two sequences, each with windows of its own, so that teasers beside an article don't join it.
+    If the elements hold most of the page's text, their lines weigh ``BONUS`` more.
     """
     if not lines:
         return []
@@ -180,14 +181,14 @@ def kept_lines(lines: list[tuple[str, int, bool, bool]]) -> list[str]:
         weight = np.where(main & ~noise, weight + BONUS, weight)
     found: list[tuple[int, bool, np.ndarray]] = []
     for inside in (True, False):
-        at = np.flatnonzero(main == inside)
+        at = np.flatnonzero((main == inside) & ~noise)
         for a, b in _regions(weight[at]):
             found.append((int(weight[at[a:b]].sum()), inside, at[a:b]))
     if not found:  # a page of few words: its densest run
         return [lines[i][0] for i in np.flatnonzero(weight > 0)]
     most = max(total for total, _, _ in found)
     chosen = [at for total, inside, at in found if (has_main and inside) or total >= SHARE * most]
-    return [lines[i][0] for i in np.sort(np.concatenate(chosen)) if weight[i] > 0 or not (noise[i] or menu[i])]
+    return [lines[i][0] for i in np.sort(np.concatenate(chosen)) if weight[i] > 0 or not menu[i]]
 
 
 def main_text(page: str) -> str:

@@ -71,6 +71,17 @@ def test_windows_decide_on_pages_with_an_article_element():
     assert html_text.main_text(page(f"<div>Lone words</div><article>{paragraphs()}</article><div>More</div>")) == "\n".join(ARTICLE)
 
 
+BOX = "<p>Sign up here</p><p>Every week by mail</p><p>No charge</p><p>Leave at any time</p>"
+
+
+@pytest.mark.parametrize("box", [f"<div class='ad'>{BOX}</div>", f"<form>{BOX}</form>", f"<aside class='newsletter'>{BOX}</aside>", f"<div class='share'>{BOX}</div>"])
+def test_a_box_in_the_middle_does_not_end_an_article(box):
+    long, closing = ["Long " + "words " * 82 + str(i) for i in range(8)], ["End " + "words " * 74 + str(i) for i in range(2)]
+    for lead, tail in (([], closing), ([], ["Short end, " + "a " * 49 + "b"]), (["A short lead."], ["Bye."])):
+        body = "<div class='story'>" + (paragraphs(lead) + box if lead else "") + paragraphs(long) + box + paragraphs(tail) + "</div>" + FOOT
+        assert html_text.main_text(page(body)) == "\n".join([*lead, *long, *tail])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from(list("<>/!-\"'= apdivrtcle&;#x\n")), max_size=80))
 def test_any_markup_is_read(text):
