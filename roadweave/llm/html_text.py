@@ -4,7 +4,8 @@ Markup is stripped into lines, one per block. Of every line the length of its te
 windows of ``WINDOW`` lines show where text is dense: a region begins at a surge, the first line whose window's sum
 reaches ``SURGE``, and ends at a dive, where the lines run out of text. Lines of the regions that hold the page's text
 are kept. What markup itself says bends the distribution: lines in article or main elements that hold most of the text
-weigh ``BONUS`` more, lines in menus, headers, footers, sidebars, notices, adverts, forms or comments are cut out.
+weigh ``BONUS`` more, lines in menus, headers, footers, sidebars, notices, adverts, forms or comments are cut out. What
+class, id and role say is overruled where the element holds the article.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 UNSEEN = frozenset("head iframe noscript object script select style svg template textarea title button".split())
-AROUND = frozenset("aside dialog footer form menu nav search".split())
+AROUND = frozenset("aside dialog footer menu nav search".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(["article", "main"])
 RAW = frozenset(["script", "style", "textarea", "title", "iframe", "noscript", "template"])
@@ -45,6 +47,10 @@ NOISE = frozenset(
     "signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
 
+# Words that say of a page that it has or lacks such a part, and words for what an article's header is named by.
+STATES = frozenset("has no non not with without".split())
+CONTENT = frozenset("article content entry post story".split())
+
 _TAG = re.compile(r"<(?:!--|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)|[!?/])")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _INSIDE = re.compile(r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
@@ -52,24 +58,72 @@ _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z0-9]+")
 
 
-def _noisy(name: str, attributes: str) -> bool:
+def _noisy(name: str, attributes: str) -> tuple[int, bool]:
+    """2 for what surrounds an article, 1 for what may, by its class, id or role, else 0; whether a word for an article is with it."""
     if name in AROUND:
-        return True
+        return 2, False
+    noise, content = int(name == "form"), False
     if not attributes or name in ("body", "html", *MAIN):
-        return False
+        return noise, content
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        if key in ("class", "id", "role") and not NOISE.isdisjoint(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-            return True
-    return False
+            return 2, False
+        if key in ("class", "id", "role"):
+            for part in value.split():
+                words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", part).lower())
+                if not NOISE.isdisjoint(words) and STATES.isdisjoint(words) and words[-1] != "free":
+                    noise, content = 1, content or not CONTENT.isdisjoint(words)
+    return noise, content
+
+
+@dataclass
+class _Part:
+    """An element on the lines from ``first`` to before ``end``: one that may be noise, or an article or main element."""
+
+    first: int
+    named: bool = False  # inside an article or main element, or with a word for one in its name
+    head: bool = False  # has an h1
+    end: int = 0
+
+
+def _noise(out: list[tuple[str, int, bool, bool]], parts: list[_Part], mains: list[_Part]) -> list[bool]:
+    """Which lines are noise: those of ``parts`` too, unless the page overrules what their names say.
+
+    It does where a part has the h1 of an article it is in or named by; where it holds most of the text, with an h1 or
+    with an article or main element that holds most of the text by itself; and where nothing that surges, and no line
+    of an article or main element, is left without it.
+    """
+    sure = np.array([x for _, _, _, x in out], dtype=bool)
+    text = np.array([0 if x else max(len(t) - n, 0) for t, n, _, x in out], dtype=np.int64)
+    before = np.concatenate([[0], np.cumsum(text)])
+    total = before[-1]
+    most = lambda p: 2 * (before[p.end] - before[p.first]) > total
+    inner = min((p for p in mains if most(p)), key=lambda p: p.end - p.first, default=None)
+    holds = lambda p: inner is not None and p.first <= inner.first and inner.end <= p.end
+
+    def marked(left: list[_Part]) -> np.ndarray:
+        steps = np.zeros(len(out) + 1, dtype=np.int64)
+        for p in left:
+            steps[p.first] += 1
+            steps[p.end] -= 1
+        return sure | (np.cumsum(steps)[:-1] > 0)
+
+    left = [p for p in parts if not (p.head and p.named or most(p) and (p.head or holds(p)))]
+    noise = marked(left)
+    kept = np.array([inside for _, _, inside, _ in out], dtype=bool) & ~noise
+    if left and not kept.any() and text[~noise].sum() < SURGE:
+        noise = marked([p for p in left if not most(p)])
+    return noise.tolist()
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters in links, in an article or main element, in what surrounds one) of each block with text."""
     out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each begins something around the article
+    stack: list[tuple[str, bool, _Part | None]] = []  # open elements, and whether each begins something around the article
+    parts: list[_Part] = []
+    mains: list[_Part] = []
+    heads: list[_Part] = []  # open parts that have no h1 yet
     held: list[str] = []
     linked = noisy = main = links = 0
     at, size = 0, len(page)
@@ -84,8 +138,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
 
     def close(to: int) -> None:
         nonlocal noisy, main, links
-        for name, noise in stack[to:]:
+        for name, noise, part in stack[to:]:
             noisy -= noise
+            if part:
+                part.end = len(out)
+                if heads and heads[-1] is part:
+                    heads.pop()
             main -= name in MAIN
             links -= name == "a"
         del stack[to:]
@@ -134,13 +192,27 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                     break
                 if stack[k][0] in BLOCKS:
                     break
-        noise = _noisy(name, page[tag.end() : end - 1]) or (name == "header" and not main)
-        stack.append((name, noise))
+        level, content = _noisy(name, page[tag.end() : end - 1])
+        noise = level == 2 or (name == "header" and not main)
+        part = None
+        if name in MAIN:
+            mains.append(part := _Part(len(out)))
+        elif level == 1 and not noise:
+            parts.append(part := _Part(len(out), content or main > 0))
+            heads.append(part)
+        elif name == "h1" and not noisy:
+            for p in heads:
+                p.head = True
+            heads.clear()
+        stack.append((name, noise, part))
         noisy += noise
         main += name in MAIN
         links += name == "a"
     flush()
-    return out
+    close(0)
+    if not parts:
+        return out
+    return [(text, n, inside, x) for (text, n, inside, _), x in zip(out, _noise(out, parts, mains))]
 
 
 def _regions(weight: np.ndarray) -> list[tuple[int, int]]:

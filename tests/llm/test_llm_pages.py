@@ -82,6 +82,35 @@ def test_a_box_in_the_middle_does_not_end_an_article(box):
         assert html_text.main_text(page(body)) == "\n".join([*lead, *long, *tail])
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<div class='layout has-sidebar'><article><h1>Head</h1>{}</article></div>",
+        "<div id='page' class='with-header no-comments'><div class='story'><h1>Head</h1>{}</div></div>",
+        "<div class='page ad-free'><article><h1>Head</h1>{}</article></div>",
+        "<div class='sidebar layout'><article><div><h2>Head</h2>{}</div></article><div class='comments'><p>Nice.</p></div></div>",
+        "<div class='modal'><div><h2>Head</h2>{}</div></div>",
+        "<article><div class='article-header'><h1>Head</h1></div>{}</article>",
+        "<div class='story'><div class='entry-header'><h1>Head</h1></div>{}</div>",
+        "<form id='aspnet'><h1>Head</h1>{}<div class='newsletter'><p>Sign up here</p></div></form>",
+        "<div class='page-header'><h1>Site</h1></div><div class='story'><h2>Head</h2>{}</div>",
+    ],
+)
+def test_names_are_overruled_by_what_an_element_holds(body):
+    assert html_text.main_text(page(NAV + body.format(paragraphs()) + FOOT)) == "\n".join(["Head", *ARTICLE])
+
+
+def test_a_short_article_is_not_joined_by_its_surroundings():
+    body = f"<div class='cookie-notice'><p>{ARTICLE[0]}</p></div><article><p>Short.</p></article>"
+    assert html_text.main_text(page(body)) == "Short."
+
+
+def test_long_comments_do_not_become_the_article():
+    comments = "".join(f"<article class='comment'><p>{t}</p></article>" for t in ARTICLE * 3)
+    body = f"<div class='story'><h1>Head</h1>{paragraphs()}</div><div id='comments'>{comments}</div>"
+    assert html_text.main_text(page(body)) == "\n".join(["Head", *ARTICLE])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from(list("<>/!-\"'= apdivrtcle&;#x\n")), max_size=80))
 def test_any_markup_is_read(text):
