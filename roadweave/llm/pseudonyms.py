@@ -23,13 +23,21 @@ ROUNDS = 10
 EMAIL = r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![\w-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"
-DATE = r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d)"
+DATE = r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=T\d{2}:?\d{2})|(?![\w/-]|\.\d))"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = (
     r"(?<![\w-])(?:\d{13,19}|\d{4}(?:-\d{4}){3}(?:-\d{1,3})?|\d{4}(?: \d{4}){3}(?: \d{1,3})?"
     r"|\d{4}-\d{6}-\d{5}|\d{4} \d{6} \d{5})(?![\w-])"
 )
-PHONE = r"(?<![\w.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<!\w)\+\d{9,15}(?!\w)"
+# Numbers in pairs: after a country code, a trunk 0, or as in Spain.
+PAIRS = (
+    r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?(?:\d(?:[ .-]\d{2}){4}|\d{2}(?:[ .-]\d{2}){3,4}|\d{2}[ .-]\d{3}(?:[ .-]\d{2}){2}|\d{3,4}(?:[ .-]\d{2}){3})"
+    r"|0\d(?:[ .-]\d{2}){4}|0\d{2,4}(?:[ .-]\d{2}){3,4}|[6-9]\d{2}(?:[ .-]\d{2}){3}|[89]\d[ .-]\d{3}(?:[ .-]\d{2}){2})(?![\w-])"
+)
+PHONE = (
+    r"(?<![\w.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<!\w)\+\d{9,15}(?!\w)"
+    rf"|{PAIRS}"
+)
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, IBAN, DATE, SSN, CARD, PHONE))
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 # Factors of the number of days from the first to the last.
@@ -212,14 +220,19 @@ def _ssn(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    """Year-month-day, month/day/year and day.month.year between 1900 and 2099."""
+    """Year-month-day, month/day/year and day.month.year between 1900 and 2099.
+
+    With slashes the day comes first only where month first is no date. Such a date's pseudonym is written day first if
+    its day is above 12, else month first, so that the same rule reads it as the day that other forms are linked to.
+    """
     iso, slash = value.rlike("^\\d{4}-"), value.contains("/")
     parts = F.split(value, r"[-/.]")
     part = lambda k: F.element_at(parts, k)
     year, month, day = (
         F.when(iso, part(a)).when(slash, part(b)).otherwise(part(c)) for a, b, c in ((1, 3, 3), (2, 1, 2), (3, 2, 1))
     )
-    named = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    named = lambda m, d: F.try_to_date(F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
+    day_first = slash & named(month, day).isNull()
 
     def of(at: Column) -> Column:
         n = F.datediff(at, F.lit(FIRST_DAY).cast("date"))
@@ -228,12 +241,17 @@ def _date(value: Column, key: str) -> Column:
         def written(new: Column) -> Column:
             padded = F.length(value) == 10
             pick = lambda long, short: F.when(padded, F.date_format(new, long)).otherwise(F.date_format(new, short))
-            return F.when(iso, F.date_format(new, "yyyy-MM-dd")).when(slash, pick("MM/dd/yyyy", "M/d/yyyy")).otherwise(pick("dd.MM.yyyy", "d.M.yyyy"))
+            return (
+                F.when(iso, F.date_format(new, "yyyy-MM-dd"))
+                .when(day_first & (F.dayofmonth(new) > 12), pick("dd/MM/yyyy", "d/M/yyyy"))
+                .when(slash, pick("MM/dd/yyyy", "M/d/yyyy"))
+                .otherwise(pick("dd.MM.yyyy", "d.M.yyyy"))
+            )
 
         new = _let(pair, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * DAYS[1] + p["r"]).cast("int")))
         return F.when(at.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), _let(new, written))
 
-    return _let(F.try_to_date(named, "yyyy-MM-dd"), of)
+    return _let(F.coalesce(named(month, day), F.when(slash, named(day, month))), of)
 
 
 def _iban_rest(text: Column) -> Column:

@@ -88,6 +88,36 @@ def test_dates(spark):
         assert "1900" <= moved[:4] <= "2099"
 
 
+def test_dates_with_the_day_first_or_a_time(spark):
+    days = [datetime.date(1985, 12, d) for d in range(13, 32)] + [datetime.date(2001, 5, d) for d in range(13, 32)]
+    iso, first = made(spark, [d.isoformat() for d in days]), made(spark, [d.strftime("%d/%m/%Y") for d in days])
+    forms = set()
+    for was, now in zip(iso, first):
+        day = datetime.date.fromisoformat(was)
+        forms.add(day.day > 12)
+        assert now == day.strftime("%d/%m/%Y" if day.day > 12 else "%m/%d/%Y")
+    assert forms == {True, False}
+    assert made(spark, ["05/12/1985"]) == [datetime.date.fromisoformat(made(spark, ["1985-05-12"])[0]).strftime("%m/%d/%Y")]
+    assert made(spark, ["31/04/2020", "00/12/2020", "32/01/2020"]) == [None] * 3
+    frame = spark.createDataFrame([(1, "né le 25/12/1985, 1985-12-25T00:00:00Z, 1985-12-25Tx, 1985-12-25T1.")], "doc_id long, text string")
+    (at,), (slash,) = made(spark, ["1985-12-25"]), made(spark, ["25/12/1985"])
+    assert pii.pseudonymised(frame).first().text == f"né le {slash}, {at}T00:00:00Z, 1985-12-25Tx, 1985-12-25T1."
+
+
+def test_phones_in_pairs(spark):
+    phones = [
+        "06 12 34 56 78", "06.12.34.56.78", "+33 6 12 34 56 78", "+33 (0)6 12 34 56 78", "+49 30 12 34 56 78", "030 12 34 56 78",
+        "612 34 56 78", "91 234 56 78", "+34 612 34 56 78", "+34 91 234 56 78",
+    ]
+    now = made(spark, phones)
+    for was, is_ in zip(phones, now):
+        assert is_ and is_ != was and re.sub(r"\d", "9", is_) == re.sub(r"\d", "9", was) and (was[0] != "+" or is_[:3] == was[:3])
+    assert re.sub(r"\D", "", now[0]) == re.sub(r"\D", "", now[1])
+    texts = [f"Tél. {p}, 7 fois" for p in phones] + ["10 20 30 40 50 and 12 34 56 78 90"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["text"] for r in by(pii.pseudonymised(frame), "doc_id")] == [f"Tél. {p}, 7 fois" for p in now] + texts[-1:]
+
+
 def test_every_date_has_its_own_pseudonym(spark):
     days = spark.range(17 * 4297).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("v"))
     moved = days.select("v", pii._date(F.col("v"), pii.KEY).alias("p"))
