@@ -42,6 +42,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(with_workers(spark), sf_dir, "pages")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(with_workers(spark), sf_dir, "embeddings")
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

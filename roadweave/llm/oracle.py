@@ -113,3 +113,38 @@ select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
         and (n_words - n_boilerplate_words >= 10 or 100 * (n_words - n_boilerplate_words) >= 50 * n_words) as kept
 from m
 """
+
+SQL["op12_bit_sliced_top_k"] = r"""
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as q from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+    select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint as score
+    from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as "rank" from s)
+select query_id, "rank", vec_id, score from r where "rank" <= 10
+"""
+
+SQL["op13_hard_negatives"] = r"""
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as q
+    from embeddings
+    where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as alike, list_inner_product(a.q, b.q)::bigint as score
+    from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+),
+p as (
+    select anchor_id, vec_id as positive_id, score as positive_score from s where alike
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, (row_number() over n)::int as "rank", vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not alike and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window n as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over n <= 10
+"""

@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from roadweave.llm.bitplanes import read_files, write_files
 from roadweave.llm.bpe import decode, encode, ids_digest
-from roadweave.llm.common import documents, pages, vocabulary
+from roadweave.llm.common import documents, embeddings, pages, vocabulary
 from roadweave.llm.curriculum import mixed
 from roadweave.llm.exact_dedup import exact_duplicates
+from roadweave.llm.hard_negatives import hard_negatives
 from roadweave.llm.html_text import extract
 from roadweave.llm.language import predict, train
 from roadweave.llm.near_dedup import near_duplicates
 from roadweave.llm.pseudonyms import pseudonymised
 from roadweave.llm.quality import judged
 from roadweave.llm.sharding import sharded
+from roadweave.llm.spelling import variants
+from roadweave.llm.spelling import vocabulary as spelled
+from roadweave.llm.top_k import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +102,21 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents, by code lengths of context trees trained on a bounded sample."""
     docs = documents(spark, sf_dir)
     return predict(docs, train(docs))
+
+
+@query
+def op11_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, the form each is a variant of, and the root of its forms."""
+    return variants(spelled(documents(spark, sf_dir)))
+
+
+@query
+def op12_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best scores of every hundredth vector among all others, by a bit-sliced index."""
+    return nearest(embeddings(spark, sf_dir))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all others, by a secondary sort."""
+    return hard_negatives(embeddings(spark, sf_dir))

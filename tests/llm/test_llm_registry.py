@@ -22,12 +22,14 @@ FIRST = {
     5: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     6: "doc_id size text_crc32 law shard slot grown_shard", 7: "doc_id n_tokens ids_sha256 decoded_sha256",
     8: "doc_id start n_tokens ids_crc32", 9: "doc_id held_out lang_pred score", 10: "doc_id n_shingles component_id kept",
+    11: "word form root n n_near form_n", 12: "query_id rank vec_id score",
+    13: "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
 def test_all_are_registered():
     assert {**QUERIES, "pipeline": None}.keys() <= driver.queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES) and set(SQL) <= set(driver.oracle_sql())
 
 
@@ -36,6 +38,9 @@ def test_whole_table_in_contract_columns(spark, name):
     df = QUERIES[name](spark, str(SMALL))
     n = int(name[2:].split("_")[0])
     assert df.columns[: len(FIRST.get(n, "doc_id").split())] == FIRST.get(n, "doc_id").split()
+    if n > 10:  # not a row for each row; compared as wholes elsewhere
+        assert df.count()
+        return
     table = "pages" if n == 3 else "documents"
     key = df.columns[0]
     want = sorted(r[0] for r in spark.read.parquet(f"{SMALL}/{table}.parquet").select(key).collect())
