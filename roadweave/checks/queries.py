@@ -9,21 +9,21 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadweave import operators as ops
 from roadweave.functions import (
     concat_present,
     exact_sum,
-    milepost_to_number,
+    milepost_to_double,
     reference_point_to_number,
     round_half_up,
 )
 from roadweave.plans import corridors, county, countylines, lab, nodes, pavement
 from roadweave.sources.derived import Inputs
 from roadweave.sources.schemas import SEC_SEGMENTS
-from roadweave.sources.tables import define_view, materialize, replace_table, shared_folder, snapshot
+from roadweave.sources.tables import define_view, materialize, read_table, replace_table, shared_folder, snapshot
 
 Query = Callable[[Inputs], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,7 +159,7 @@ def corridor_extremes_literal(t: Inputs) -> DataFrame:
 @query
 def corridor_extremes(t: Inputs) -> DataFrame:
     """C8, W2, W3, O5"""
-    return corridors.corridor_extremes(corridor_candidates(t))
+    return corridors.extremes_of(missing_corridors(t), gn_locate_unique(t))
 
 
 @query
@@ -220,22 +220,16 @@ def _datasets(t: Inputs, vans: tuple[int, ...]) -> DataFrame:
 
 @query
 def delivery_order(t: Inputs) -> DataFrame:
-    """O1, O2: the place of each (direction, lane, begin mile) in its corridor, as order itself can't be compared
-
-    Equal rows are counted before they are ordered.
-    """
-    place = ["van_no", "secfile_name", "corridor_code_rb"]
-    counted = _datasets(t, (12174, 12175)).groupBy(*place, "dir", "lane", "begin_mi").agg(F.count("*").alias("n"))
-    handed = Window.partitionBy(*place).orderBy(
-        F.col("dir").desc_nulls_first(), F.col("lane").asc_nulls_last(), F.col("begin_mi").asc_nulls_last()
-    )
-    before = F.sum("n").over(handed.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    return counted.select(*place, "dir", "lane", "begin_mi", "n", (before + 1).alias("place"))
+    """O1, O2: the place of each (direction, lane, begin mile) in its corridor: its place of all less the corridor's first"""
+    corridor, rows = ["van_no", "secfile_name", "corridor_code_rb"], ["dir", "lane", "begin_mi"]
+    placed = materialize(corridors.places_in_delivery(_datasets(t, (12174, 12175)).select(*corridor, *rows)))
+    first = placed.groupBy(*corridor).agg(F.min("place").alias("first"))
+    return placed.join(first, corridor).select(*corridor, *rows, "n", (F.col("place") - F.col("first") + 1).alias("place"))
 
 
 @query
 def delivered_rows(t: Inputs) -> DataFrame:
-    """O1, O2: rows in the order they are handed over"""
+    """O1, O2: rows with their places in the order they are handed over"""
     order = ["van_no", "secfile_name", "corridor_code_rb", "dir", "lane", "begin_mi"]
     return corridors.in_delivery_order(_datasets(t, (12174, 12175)).select(*order))
 
@@ -249,10 +243,11 @@ def view_rows(t: Inputs) -> DataFrame:
 
 @query
 def replaced_table(t: Inputs) -> DataFrame:
-    """A table replaced by a part of itself"""
+    """A table replaced by a part of itself, read by its name"""
     path = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
     table = replace_table(county_totals(t), path, keys=["fips"])
-    return replace_table(table.where("max_deaths > 0"), path, keys=["fips"])
+    replace_table(table.where("max_deaths > 0"), path, keys=["fips"])
+    return read_table(t.spark, path)
 
 
 @query
@@ -330,6 +325,30 @@ def ambiguous_posts(t: Inputs) -> DataFrame:
     return countylines.ambiguous_posts(t["north_corr_rb"], 0)
 
 
+@query
+def survey_match_classes(t: Inputs) -> DataFrame:
+    """The match on both posts, as counts for each class of equal posts"""
+    return countylines.survey_classes_south(t["sec_file_south"], t["south_corr_rb"], t["south_descr"]).classes
+
+
+@query
+def survey_match_classes_north(t: Inputs) -> DataFrame:
+    """The match on begin posts, as counts of distinct rows for each class of equal posts"""
+    return countylines.survey_classes_north(t["sec_file_north"], t["north_corr_rb"], t["north_descr"]).classes
+
+
+@query
+def survey_match_members(t: Inputs) -> DataFrame:
+    """The survey rows that find a partner, without writing out the match"""
+    return countylines.survey_classes_south(t["sec_file_south"], t["south_corr_rb"], t["south_descr"]).members("survey")
+
+
+@query
+def survey_match_unambiguous(t: Inputs) -> DataFrame:
+    """The match on begin posts without posts that several corridors have"""
+    return countylines.match_survey_north(t["sec_file_north"], t["north_corr_rb"], t["north_descr"], expand=False)
+
+
 @query
 def survey_match_north(t: Inputs) -> DataFrame:
     """C20, J3, A9"""
@@ -563,8 +582,8 @@ def milepost_numbers(t: Inputs) -> DataFrame:
     """E5, E6, E7, E9"""
     post = F.col("nrlg_milepoint")
     return t["roadlog"].select("nrlg_milepoint").distinct().select(
-        "nrlg_milepoint", milepost_to_number(post).cast("double").alias("mile"),
-        milepost_to_number(F.replace(post, F.lit("+0"), F.lit("-"))).cast("double").alias("behind"),
+        "nrlg_milepoint", milepost_to_double(post).alias("mile"),
+        milepost_to_double(F.replace(post, F.lit("+0"), F.lit("-"))).alias("behind"),
     )
 
 

@@ -3,8 +3,10 @@
 from roadweave.functions.measures import (
     divide,
     exact_sum,
+    from_limbs,
     km_to_mi,
     length_ratio_pct,
+    limbs,
     per_capita,
     round_half_up,
 )
@@ -12,6 +14,7 @@ from roadweave.functions.text import (
     blank_as_null,
     concat_present,
     corridor_number,
+    milepost_to_double,
     milepost_to_number,
     reference_point,
     reference_point_to_number,
@@ -23,8 +26,11 @@ __all__ = [
     "corridor_number",
     "divide",
     "exact_sum",
+    "from_limbs",
     "km_to_mi",
     "length_ratio_pct",
+    "limbs",
+    "milepost_to_double",
     "milepost_to_number",
     "per_capita",
     "reference_point",

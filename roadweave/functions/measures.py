@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,9 +27,47 @@ def round_half_up(col: Column, digits: int) -> Column:
     return F.round(guarded(col, digits), digits).cast("double")
 
 
+# Bits of a limb of the fraction, and how many there are: a group may have 2**43 rows before a sum of limbs overflows.
+LIMB_BITS, LIMBS = 20, 3
+
+
+def limbs(col: Column) -> list[Column]:
+    """A double as longs whose sums are exact in any order: the whole part, then the fraction in pieces of 20 bits.
+
+    Bits below 2**-60 are left out, which only values under 2**-7 can have. NaN and infinities count as null.
+    """
+    finite = F.when(F.abs(col) < F.lit(float("inf")), col.cast("double"))
+    whole = F.floor(finite)
+    fraction = ((finite - whole) * F.lit(float(1 << LIMB_BITS * LIMBS))).cast("bigint")
+    mask = F.lit((1 << LIMB_BITS) - 1).cast("bigint")
+    pieces = [F.shiftright(fraction, LIMB_BITS * i) for i in reversed(range(LIMBS))]
+    return [whole.cast("bigint"), pieces[0], *(p.bitwiseAND(mask) for p in pieces[1:])]
+
+
+def from_limbs(sums: Sequence[Column], digits: int) -> Column:
+    """The double nearest to summed limbs, rounded half up to so many places (18 at most)."""
+    mask, sums = F.lit((1 << LIMB_BITS) - 1).cast("bigint"), list(sums)
+    for i in range(LIMBS, 0, -1):  # what a piece has beyond its bits goes to the one above
+        sums[i - 1] = sums[i - 1] + F.shiftright(sums[i], LIMB_BITS)
+        sums[i] = sums[i].bitwiseAND(mask)
+    fraction = sums[1]
+    for piece in sums[2:]:
+        fraction = F.shiftleft(fraction, LIMB_BITS) + piece
+    one = 1 << LIMB_BITS * LIMBS
+    half = F.when(sums[0] < 0, F.lit(Decimal(one // 2 - 1))).otherwise(F.lit(Decimal(one // 2)))
+    scaled = fraction.cast("decimal(19,0)") * F.lit(Decimal(10**digits)) + half
+    places = F.call_function("div", scaled, F.lit(Decimal(one)))
+    unit = F.lit(Decimal(1).scaleb(-digits))
+    return (sums[0].cast("decimal(19,0)") + places.cast("decimal(19,0)") * unit).cast("double")
+
+
 def exact_sum(col: Column, digits: int = 9) -> Column:
-    """Sum of doubles as decimals of so many places, as a double: the same in whatever order the rows come."""
-    return F.sum(col.cast(f"decimal(28,{digits})")).cast("double")
+    """Sum of doubles, the same in whatever order the rows come, rounded half up to so many places (18 at most).
+
+    Four sums of longs, which hash aggregates keep in place; no row makes a decimal. Null if no row has a finite value;
+    sums beyond a long raise.
+    """
+    return from_limbs([F.sum(limb) for limb in limbs(col)], digits)
 
 
 def divide(num: Column, den: Column, on_zero: str = "error") -> Column:

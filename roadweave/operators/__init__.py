@@ -1,15 +1,19 @@
 """Table operators: DataFrame in, DataFrame out."""
 
 from roadweave.operators.joins import (
+    MatchClasses,
     RoundedKey,
     interval_join,
     interval_sides,
     lookup_ends,
+    match_classes,
     not_in_present,
     rounded_join,
 )
 from roadweave.operators.ordering import (
     next_value,
+    numbered,
+    place_of_groups,
     preview,
     rank_quantiles,
     running_count_at_key,
@@ -34,6 +38,7 @@ from roadweave.operators.shaping import (
 )
 
 __all__ = [
+    "MatchClasses",
     "RoundedKey",
     "assert_key",
     "blank_to_null",
@@ -45,9 +50,12 @@ __all__ = [
     "keep_unique",
     "key_violations",
     "lookup_ends",
+    "match_classes",
     "minus",
     "next_value",
     "not_in_present",
+    "numbered",
+    "place_of_groups",
     "preview",
     "rank_quantiles",
     "reverse_ends",

@@ -6,12 +6,12 @@ No side is ever broadcast by hint: Catalyst and AQE broadcast a side whose measu
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions.measures import guarded
@@ -79,14 +79,14 @@ def interval_sides(
         steps = F.log(float(LEVEL_FACTOR), F.greatest((F.col(hi) - F.col(lo)) / F.lit(float(bin)), F.lit(1.0)))
         intervals = intervals.withColumn("__level", F.ceil(steps).cast("int"))
         levels = intervals.agg(F.collect_set("__level").alias("levels")).scalar()
-        points = points.withColumn("__at_level", F.explode_outer(levels)).withColumn("__at_bin", bucket(at, "__at_level"))
+        points = points.select("*", F.posexplode_outer(levels).alias("__copy", "__at_level")).withColumn("__at_bin", bucket(at, "__at_level"))
         intervals = intervals.withColumn("__bin", F.explode(F.sequence(bucket(lo, "__level"), bucket(hi, "__level"))))
         on += [F.col("__at_bin") == F.col("__bin"), F.col("__at_level") == F.col("__level")]
     if salt > 1:
         points = points.withColumn("__at_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salt)).cast("int"))
         intervals = intervals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         on.append(F.col("__at_salt") == F.col("__salt"))
-    helpers = ("__at_bin", "__at_level", "__bin", "__level", "__at_salt", "__salt")
+    helpers = ("__copy", "__at_bin", "__at_level", "__bin", "__level", "__at_salt", "__salt")
     return IntervalSides(points, intervals, reduce(and_, on), helpers)
 
 
@@ -111,18 +111,63 @@ def interval_join(
     interval. ``salt`` splits points further when a single bucket is hot: the intervals are repeated ``salt``
     times, each point takes one copy, chosen by its values so that a recomputed task chooses alike.
 
-    ``how`` is ``'inner'`` or ``'left'``; the latter finds the points without any interval by a second join on all their
-    columns. Column names of the two sides must differ.
+    ``how`` is ``'inner'`` or ``'left'``; the latter numbers the points and tells by a flag over all copies of a point
+    which have no interval, in the same join. Column names of the two sides must differ.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    sides = interval_sides(points, intervals, key, at, lo, hi, bin, salt)
-    pairs = sides.points.join(sides.intervals, sides.on).drop(*sides.helpers)
     if how == "inner":
-        return pairs
-    met = pairs.select(*(F.col(c).alias(f"__met_{c}") for c in points.columns)).distinct()
-    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__met_{c}")) for c in points.columns))
-    return pairs.unionByName(points.join(met, same, "left_anti"), allowMissingColumns=True)
+        sides = interval_sides(points, intervals, key, at, lo, hi, bin, salt)
+        return sides.points.join(sides.intervals, sides.on).drop(*sides.helpers)
+    named = points.withColumn("__point", F.monotonically_increasing_id())
+    sides = interval_sides(named, intervals, key, at, lo, hi, bin, salt)
+    pairs = sides.points.join(sides.intervals, sides.on, "left")
+    if bin is not None:  # a point has a copy for each level of intervals; of those without any, the first one stays
+        met = F.col(lo).isNotNull()
+        ever = F.max(met).over(Window.partitionBy("__point"))
+        first = F.coalesce("__copy", F.lit(0)) == 0
+        pairs = pairs.withColumn("__met", met).withColumn("__ever", ever).where(F.col("__met") | (~F.col("__ever") & first))
+    return pairs.drop(*sides.helpers, "__point", "__met", "__ever")
+
+
+class MatchClasses(NamedTuple):
+    """A match by equal keys that is not written out: ``classes`` has a row for each key that all ``sides`` have, with the
+    rows of each side and of the match."""
+
+    classes: DataFrame
+    sides: dict[str, DataFrame]
+
+    def members(self, name: str) -> DataFrame:
+        """The rows of a side that have partners, with the key columns that side knows."""
+        side = self.sides[name]
+        known = [c for c in side.columns if c in self.classes.columns]
+        return side.join(self.classes, known, "left_semi")
+
+    def expanded(self, chosen: Column | None = None) -> DataFrame:
+        """The rows of the match, of all classes or of those that a condition on ``classes`` chooses."""
+        keys = [c for c in self.classes.columns if any(c in side.columns for side in self.sides.values())]
+        rows = None if chosen is None else self.classes.where(chosen).select(*keys)
+        for side in self.sides.values():
+            rows = side if rows is None else rows.join(side, [c for c in side.columns if c in keys])
+        return rows
+
+
+def match_classes(sides: Mapping[str, DataFrame], key: Sequence[str]) -> MatchClasses:
+    """Rows of several sides that agree in their keys, by classes of equal keys.
+
+    ``sides`` maps a name to a frame with some of the ``key`` columns, the first side with all of them; other columns must
+    differ between sides. Equal keys cost the sum of their rows here and not the product: each side is counted on its own, and
+    only counts are joined. ``rows`` is null where the product is beyond a long. Null keys match nothing. Members are the
+    given rows, repeats included; ``expanded`` multiplies them, for whoever needs that.
+    """
+    classes: DataFrame | None = None
+    product = F.lit(1).cast("bigint")
+    for name, side in sides.items():
+        own = [c for c in key if c in side.columns]
+        counts = side.groupBy(*own).agg(F.count(F.lit(1)).alias(f"{name}_rows"))
+        classes = counts.dropna(subset=own) if classes is None else classes.join(counts, own)
+        product = F.try_multiply(product, F.col(f"{name}_rows"))
+    return MatchClasses(classes.select(*key, *(f"{n}_rows" for n in sides), product.alias("rows")), dict(sides))
 
 
 def lookup_ends(

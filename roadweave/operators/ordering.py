@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,31 +29,88 @@ def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def next_value(df: DataFrame, key: str, order: str, value: str, bucket: Column, into: str) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    from roadweave.sources.tables import materialize  # which checks keys by operators of this package
+
+    return materialize(df)
+
+
+def next_value(
+    df: DataFrame, key: str, order: str, value: str, bucket: Column | None = None, into: str = "next_value"
+) -> DataFrame:
     """The next row's ``value`` within ``key``, ordered by ``order`` and then ``value``, nulls last.
 
-    ``bucket`` is a non-decreasing function of ``order`` (a prefix of a text, a floor of a number). Rows are
-    ordered per key and bucket, so a key that holds a third of all rows is spread over as many tasks as it has
-    buckets. What the last row of a bucket still needs is the first row of the next one: a second window, over
-    the first and last row of each bucket, hands it over.
+    Rows are dealt to ranges of (key, order, value) whose splitters Spark samples from those columns, so a key that
+    holds a third of all rows, however close together, is spread over as many tasks as it needs. What the last row of a
+    range still lacks is the first row of the next one: a second window, over the first and last row of each range,
+    hands it over. The ranges are written to the shared folder before they are read twice, as sampling anew may draw
+    other splitters. Equal rows can't be dealt apart: make rows distinct first, as ``county_crossings`` does.
+
+    ``bucket``, a non-decreasing function of ``order`` (a prefix of a text, a floor of a number), takes the place of the
+    ranges where the caller knows that its groups within a key are small; then nothing is sampled or written.
     """
     by_order = [F.col(order).asc_nulls_last(), F.col(value).asc_nulls_last()]
-    within = Window.partitionBy(key, "__bucket").orderBy(*by_order)
+    if bucket is None:
+        ranges = [F.col(key).asc_nulls_first(), *by_order]
+        parts, group = df.repartitionByRange(*ranges).withColumn("__bucket", F.spark_partition_id()), ["__bucket"]
+        by_order = ranges
+    else:
+        parts, group = df.withColumn("__bucket", bucket), [key, "__bucket"]
+    within = Window.partitionBy(*group).orderBy(*by_order)
     # Wrapped in a struct, the absence of a next row differs from a next row whose value is null.
-    rows = (
-        df.withColumn("__bucket", bucket)
-        .withColumn("__next", F.lead(F.struct(F.col(value).alias("value"))).over(within))
-        .withColumn("__rn", F.row_number().over(within))
-    )
+    following = F.struct(F.col(key).alias("key"), F.col(value).alias("value"))
+    rows = parts.withColumn("__next", F.lead(following).over(within)).withColumn("__rn", F.row_number().over(within))
+    if bucket is None:
+        rows = _written(rows)
     last = F.col("__next").isNull()
-    across = Window.partitionBy(key).orderBy(F.col("__bucket").asc_nulls_last(), "__rn")
+    of_key = lambda after: F.when(after["key"].eqNullSafe(F.col(key)), after["value"])
+    across = Window.partitionBy(*(group[:-1] or [F.lit(1)])).orderBy(F.col("__bucket").asc_nulls_last(), "__rn")
     handed = (
         rows.where(last | (F.col("__rn") == 1))
-        .withColumn(into, F.lead(value).over(across))
+        .withColumn("__handed", F.lead(following).over(across))
         .where(last)
-        .select(*df.columns, into)
+        .select(*df.columns, of_key(F.col("__handed")).alias(into))
     )
-    return rows.where(~last).select(*df.columns, F.col("__next.value").alias(into)).union(handed)
+    return rows.where(~last).select(*df.columns, of_key(F.col("__next")).alias(into)).union(handed)
+
+
+def place_of_groups(df: DataFrame, order: Sequence[Column], into: str = "place", count: str = "n") -> DataFrame:
+    """Distinct rows in a stated order: each with its number of repeats and the place, from 1, of the first of them (O1, O2).
+
+    Rows are counted, sorted by ranges whose splitters Spark samples, and written; the rows of each range are numbered on
+    their own and the sizes of the ranges before are added, one number a range. So no window sees more than a range.
+    Rows that ``order`` leaves equal are ordered by all columns, ascending, nulls last.
+    """
+    names = df.columns
+    by_all = [*order, *(F.col(c).asc_nulls_last() for c in names)]
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias(count))
+    sorted_ = counted.repartitionByRange(*by_all).sortWithinPartitions(*by_all)
+    # The id of a row has its partition in the bits from 33 up, and its place there below.
+    rows = _written(sorted_.withColumn("__id", F.monotonically_increasing_id())).withColumn("__range", F.shiftright("__id", 33))
+    sizes = rows.groupBy("__range").agg(F.sum(count).alias("size"))
+    upto = Window.partitionBy(F.lit(1)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a range.
+    before = sizes.select("__range", F.coalesce(F.sum("size").over(upto), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("__range").orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    through = F.sum(count).over(within)
+    numbered_ = rows.withColumn("__through", through).join(F.broadcast(before), "__range")
+    return numbered_.select(*names, count, (F.col("__before") + F.col("__through") - F.col(count) + 1).alias(into))
+
+
+REPEATS = 4096  # of one row that are written out together
+
+
+def numbered(df: DataFrame, order: Sequence[Column], into: str = "place") -> DataFrame:
+    """Every row with its place, from 1, in a stated order (O1, O2); equal rows have consecutive places.
+
+    See ``place_of_groups``: a row that stands a million times is sorted once and written out again here, in pieces.
+    """
+    groups = place_of_groups(df, order, "__place", "__n")
+    pieces = F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / F.lit(REPEATS)).cast("int"))).alias("__piece")
+    split = groups.select(*df.columns, "__n", "__place", pieces)
+    first = F.col("__piece").cast("bigint") * REPEATS
+    upto = F.least(first + REPEATS, F.col("__n")) - 1
+    return split.select(*df.columns, F.explode(F.sequence(F.col("__place") + first, F.col("__place") + upto)).alias(into))
 
 
 def running_count_at_key(
@@ -69,9 +130,13 @@ def running_count_at_key(
     )
 
 
-# Bits of a value's place that the three steps of ``rank_quantiles`` look at: 131,072 buckets in each step at most.
+# Bits of a value's place after the binary point of its logarithm.
 _PLACE_BITS = 40
-_STEPS = (34, 17, 0)
+_PAST = 1 << 52  # the place of infinity; NaN comes after it, and null before everything
+# A summary is asked for so many values at equal distances of rank, and may be wrong by one in ``_ACCURACY`` of the rows.
+_GRID, _ACCURACY = 2000, 20_000
+# Values that one task may order, about.
+_CROWD = 1 << 20
 
 
 def _place(col: Column) -> Column:
@@ -80,9 +145,58 @@ def _place(col: Column) -> Column:
     magnitude = F.abs(col)
     log = F.log2(F.when((magnitude > 0) & (magnitude < F.lit(float("inf"))), magnitude).otherwise(F.lit(1.0)))
     place = F.floor((log + F.lit(1100.0)) * F.lit(float(1 << _PLACE_BITS))) + F.lit(1)
-    past = F.lit(1 << 52).cast("bigint")
+    past = F.lit(_PAST).cast("bigint")
     place = F.when(magnitude == F.lit(float("inf")), past).otherwise(place)
-    return F.when(col.isNull(), None).when(col == 0, F.lit(0).cast("bigint")).when(F.isnan(col), past + 1).when(col < 0, -place).otherwise(place)
+    placed = F.when(col == 0, F.lit(0).cast("bigint")).when(F.isnan(col), past + 1).when(col < 0, -place).otherwise(place)
+    return F.when(col.isNull(), -past - 1).otherwise(placed)
+
+
+class _Bracket(NamedTuple):
+    """Places between which a wanted row lies, both included, and about how many rows do."""
+
+    lo: int
+    hi: int
+    rows: float
+
+
+def _narrowed(placed: DataFrame, brackets: Sequence[_Bracket], wanted: Sequence[int] | None, fractions: Sequence[float]):
+    """(rows in all, wanted rows, narrower brackets) by one pass with a mergeable rank summary of each bracket."""
+    grid = F.array(*(F.lit(i / _GRID) for i in range(_GRID + 1)))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    distinct = list(dict.fromkeys(brackets))
+    for i, b in enumerate(distinct):
+        inside = F.col("place").between(b.lo, b.hi)
+        aggs += [
+            F.count_if(F.col("place") < b.lo).alias(f"below{i}"), F.count_if(inside).alias(f"inside{i}"),
+            F.percentile_approx(F.when(inside, F.col("place")), grid, _ACCURACY).alias(f"grid{i}"),
+        ]
+    found = placed.agg(*aggs).first()
+    wanted = wanted or [math.floor(found["n"] * q) for q in fractions]
+    narrow = []
+    for row, b in zip(wanted, brackets):
+        i = distinct.index(b)
+        inside, points = found[f"inside{i}"], found[f"grid{i}"]
+        if not points:
+            narrow.append(b)
+            continue
+        # One point more on either side than rounding and the summary's error ask for.
+        at, slack = (row - found[f"below{i}"]) / inside * _GRID, 1 + 2 * _GRID / _ACCURACY + 2 * _GRID / inside
+        first, last = math.floor(at - slack), math.ceil(at + slack)
+        lo = b.lo if first < 0 else points[first]
+        hi = b.hi if last > _GRID else points[last]
+        narrow.append(_Bracket(lo, hi, inside * (last - first) / _GRID))
+    return found["n"], wanted, narrow
+
+
+def _apart(brackets: Sequence[_Bracket]) -> list[tuple[int, int]]:
+    """The places of all brackets as spans in order that don't meet."""
+    spans: list[tuple[int, int]] = []
+    for b in sorted(brackets):
+        if spans and b.lo <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(spans[-1][1], b.hi))
+        else:
+            spans.append((b.lo, b.hi))
+    return spans
 
 
 def rank_quantiles(df: DataFrame, col: str, fractions: Sequence[float]) -> DataFrame:
@@ -91,45 +205,37 @@ def rank_quantiles(df: DataFrame, col: str, fractions: Sequence[float]) -> DataF
     Nulls sort first and count as rows. A fraction whose row number is 0 finds none. The result is exact and of
     the column's type:
 
-    1. count per value;
-    2. a running count over buckets of values finds the bucket that holds each wanted row, then, among the values of
-       that bucket only, the bucket of a finer division, and once more;
-    3. a running count over the values of the last bucket finds the value.
+    1. one pass, run at once, with a mergeable summary of ranks brings a few numbers to the driver: between which values
+       each wanted row lies. Where too many rows do (over 400 million rows in all, about), another pass narrows that;
+    2. one more pass counts the rows below and between the brackets, and the rows of each value inside them. A running
+       count over those few values finds the wanted ones.
 
-    So neither the rows nor the distinct values are ever sorted as a whole. The last buckets are 10**-12 of a value
-    wide: some thousand doubles at most, whatever the table. A repeated value is one counted row.
+    So neither the rows nor the distinct values are ever sorted as a whole, and a repeated value is one counted row.
+    Brackets are of places, which values within 10**-12 of their size may share: longs beyond 2**53 and decimals of many
+    digits are ordered exactly inside a bracket, but not narrowed further. A bracket that missed its row would raise.
     """
-    counts = (
-        df.select(F.col(col).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("place", _place(F.col("value").cast("double")))
-    )
-    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
-    over_all = Window.partitionBy(F.lit(1))
-    wanted = F.explode(F.array(*(F.struct(F.lit(float(q)).alias("fraction")) for q in fractions)))
-    holds = (F.col("through") - F.col("n") < F.col("row")) & (F.col("row") <= F.col("through"))
-    targets: DataFrame | None = None
-    for step, bits in enumerate(_STEPS):
-        bucket = F.shiftright("place", bits)
-        if targets is None:
-            buckets = counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"))
-            running = (
-                buckets.withColumn("through", F.sum("n").over(upto(over_all.orderBy(F.col("bucket").asc_nulls_first()))))
-                .withColumn("total", F.sum("n").over(over_all)).withColumn("w", wanted)
-                .withColumn("row", F.floor(F.col("total") * F.col("w.fraction"))).withColumn("fraction", F.col("w.fraction"))
-            )
-        else:
-            inside = counts.join(F.broadcast(targets), F.shiftright("place", _STEPS[step - 1]).eqNullSafe(F.col("in_bucket")))
-            buckets = inside.groupBy("fraction", "row", "before", bucket.alias("bucket")).agg(F.sum("n").alias("n"))
-            order = Window.partitionBy("fraction").orderBy(F.col("bucket").asc_nulls_first())
-            running = buckets.withColumn("through", F.col("before") + F.sum("n").over(upto(order)))
-        # One row per fraction at most, whatever the size of the table.
-        targets = running.where(holds).select(
-            "fraction", "row", F.col("bucket").alias("in_bucket"), (F.col("through") - F.col("n")).alias("before")
-        )
-    inside = counts.join(F.broadcast(targets), F.shiftright("place", _STEPS[-1]).eqNullSafe(F.col("in_bucket")))
-    by_value = Window.partitionBy("fraction").orderBy(F.col("value").asc_nulls_first())
-    placed = inside.withColumn("through", F.col("before") + F.sum("n").over(upto(by_value)))
-    return placed.where(holds).select("fraction", F.col("value").alias(col))
+    value = df.select(F.col(col).alias("value"))
+    placed = value.select("value", _place(F.col("value").cast("double")).alias("place"))
+    whole = _Bracket(-_PAST - 1, _PAST + 1, float("inf"))
+    brackets, wanted = [whole] * len(fractions), None
+    while True:
+        n, wanted, narrow = _narrowed(placed, brackets, wanted, fractions)
+        done = n <= _CROWD or all(b.rows <= _CROWD or b.hi == b.lo or (b.lo, b.hi) == (a.lo, a.hi) for a, b in zip(brackets, narrow))
+        brackets = narrow
+        if done:
+            break
+    spans = _apart([b for b, row in zip(brackets, wanted) if row > 0]) or [(0, 0)]
+    inside = reduce(or_, (F.col("place").between(lo, hi) for lo, hi in spans))
+    # Even slots lie between the brackets, odd ones in them.
+    slot = reduce(add, ((F.col("place") > hi).cast("int") * 2 + F.col("place").between(lo, hi).cast("int") for lo, hi in spans))
+    counts = placed.groupBy(slot.alias("slot"), F.when(inside, F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy(F.lit(1)).orderBy("slot", F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("through", F.sum("n").over(upto))
+    asked = F.array(*(F.struct(F.lit(float(q)).alias("fraction"), F.lit(row).cast("bigint").alias("row")) for q, row in zip(fractions, wanted)))
+    holds = lambda w: (F.col("through") - F.col("n") < w["row"]) & (w["row"] <= F.col("through"))
+    here = running.select("slot", "value", F.explode(F.filter(asked, holds)).alias("w"))
+    missed = F.raise_error(F.lit("a wanted row lies outside its bracket"))
+    return here.select("w.fraction", F.when(F.col("slot") % 2 == 1, F.col("value")).otherwise(missed).alias(col))
 
 
 def upper_fence_filter(

@@ -8,8 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadweave.functions import concat_present, exact_sum
-from roadweave.operators import conform, minus, not_in_present
+from roadweave.functions import concat_present, exact_sum, from_limbs, limbs
+from roadweave.operators import conform, minus, not_in_present, numbered, place_of_groups
 from roadweave.sources.schemas import SEC_SEGMENTS
 
 # Code lists and constants of the collection rules.
@@ -47,6 +47,31 @@ def candidate_extremes_literal(candidates: DataFrame) -> DataFrame:
     return candidates.join(miles, F.col("tis_mi") == F.col("mile"), "left_semi").distinct()
 
 
+def corridor_ends(nodes: DataFrame, corridor: str, node: str, mile: str, carried: Sequence[str]) -> DataFrame:
+    """First and last node of each corridor with the columns in ``carried`` of both (C8, C21), as ``first_*`` and ``last_*``.
+
+    Of several nodes at one mile the lowest id; rows without a mile don't count. ``nodes`` must be unique on
+    (corridor, node). Nodes are combined by mile first, then by corridor, and both ends come out of the same pass; every
+    buffer is of numbers, so that Spark hashes them.
+    """
+    lowest = [F.min(node).alias("__node"), *(F.min_by(c, node).alias(f"__{c}") for c in carried)]
+    at_mile = nodes.where(F.col(mile).isNotNull()).groupBy(corridor, mile).agg(*lowest)
+    ends = []
+    for end, bound, by in (("first", F.min, F.min_by), ("last", F.max, F.max_by)):
+        ends += [bound(mile).alias(f"{end}_mile"), by("__node", mile).alias(f"{end}_node")]
+        ends += [by(f"__{c}", mile).alias(f"{end}_{c}") for c in carried]
+    return at_mile.groupBy(corridor).agg(*ends)
+
+
+def _extremes(ends: DataFrame, x: str, y: str) -> DataFrame:
+    return ends.select(
+        "corridor_code_rb", F.col("first_node").alias("beg_gn"), F.col("last_node").alias("end_gn"),
+        F.col("first_mile").alias("beg_mi"), F.col("last_mile").alias("end_mi"),
+        F.col(f"first_{y}").alias("start_lat"), F.col(f"first_{x}").alias("start_lon"),
+        F.col(f"last_{y}").alias("end_lat"), F.col(f"last_{x}").alias("end_lon"),
+    )
+
+
 def corridor_extremes(candidates: DataFrame, literal: bool = False) -> DataFrame:
     """First and last node of each corridor (C8); of several nodes at one mile, the lowest id.
 
@@ -54,20 +79,14 @@ def corridor_extremes(candidates: DataFrame, literal: bool = False) -> DataFrame
     """
     if literal:
         candidates = candidate_extremes_literal(candidates)
-    lowest = F.min(F.struct("tis_mi", "gn_id", "tis_x", "tis_y"))
-    highest = F.max(F.struct("tis_mi", (-F.col("gn_id")).alias("minus_id"), "gn_id", "tis_x", "tis_y"))
-    ends = (
-        candidates.where(F.col("tis_mi").isNotNull())
-        .groupBy("corridor_code_rb")
-        .agg(lowest.alias("s"), highest.alias("t"))
-    )
-    return ends.select(
-        "corridor_code_rb",
-        F.col("s.gn_id").alias("beg_gn"), F.col("t.gn_id").alias("end_gn"),
-        F.col("s.tis_mi").alias("beg_mi"), F.col("t.tis_mi").alias("end_mi"),
-        F.col("s.tis_y").alias("start_lat"), F.col("s.tis_x").alias("start_lon"),
-        F.col("t.tis_y").alias("end_lat"), F.col("t.tis_x").alias("end_lon"),
-    )
+    return _extremes(corridor_ends(candidates, "corridor_code_rb", "gn_id", "tis_mi", ["tis_x", "tis_y"]), "tis_x", "tis_y")
+
+
+def extremes_of(corridors: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``corridor_extremes`` of the nodes of some corridors, each named once (C8): the nodes are combined by corridor before
+    the corridors are looked up, so that no node is shuffled for that."""
+    ends = corridor_ends(nodes, "dc_id", "gn_id", "gn_dcmi", ["tis_xcoord", "tis_ycoord"])
+    return _extremes(corridors.join(ends, F.col("corridor_code_rb") == F.col("dc_id")), "tis_xcoord", "tis_ycoord")
 
 
 def new_corridor_records(
@@ -137,17 +156,24 @@ def final_dataset(
     return collected.join(forest_codes(forest, pad=pad), F.col("corridor_code") == F.col("forest_code"), "left_anti")
 
 
-def in_delivery_order(dataset: DataFrame) -> DataFrame:
-    """Rows as they are handed over: by van, section file, corridor, direction downwards, lane and begin mile (O1, O2).
-
-    For the last step before writing; pipelines never sort on the way (O3). Nulls come last, and first in the
-    descending column.
-    """
+def _delivery() -> list[Column]:
+    """By van, section file, corridor, direction downwards, lane and begin mile; nulls last, and first in the descending column."""
     ascending = lambda c: F.col(c).asc_nulls_last()
-    return dataset.orderBy(
+    return [
         ascending("van_no"), ascending("secfile_name"), ascending("corridor_code_rb"),
         F.col("dir").desc_nulls_first(), ascending("lane"), ascending("begin_mi"),
-    )
+    ]
+
+
+def places_in_delivery(dataset: DataFrame) -> DataFrame:
+    """Distinct rows, their number ``n`` and the ``place`` of the first of them in the delivery (O1, O2)."""
+    return place_of_groups(dataset, _delivery())
+
+
+def in_delivery_order(dataset: DataFrame) -> DataFrame:
+    """Rows with their ``place`` in the order they are handed over (O1, O2): a column, as the order of rows is lost by
+    whatever reads them next. For the last step before writing; pipelines never sort on the way (O3)."""
+    return numbered(dataset, _delivery())
 
 
 def final_dataset_with_missing(
@@ -214,9 +240,10 @@ def maintained_hpms(roadlog: DataFrame, hpms: DataFrame, dataset: DataFrame) ->
     """
     # Rows without a system code don't count, as some of the listed codes always exist.
     counts = F.col("nrlg_srf_type").isin(*PAVED) & F.coalesce(~F.col("nrlg_sys_desc").isin(*OFF_SYSTEM), F.lit(False))
+    length = F.when(F.col("counts"), F.col("nrlg_dept_length_mi"))
     groups = roadlog.withColumn("counts", counts).groupBy("nrlg_dept_route", "nrlg_dept_roadbed", "nrlg_smaint").agg(
-        F.min(F.when(F.col("counts"), F.col("nrlg_dept_length_mi"))).alias("begmile"),
-        F.sum(F.when(F.col("counts"), F.col("nrlg_dept_length_mi")).cast("decimal(28,9)")).alias("endmile"),
+        F.min(length).alias("begmile"),
+        *(F.sum(limb).alias(f"limb{i}") for i, limb in enumerate(limbs(length))),
         F.max(F.col("counts")).alias("counts"),
     )
     # A route has a handful of such groups, however many rows it has.
@@ -227,7 +254,7 @@ def maintained_hpms(roadlog: DataFrame, hpms: DataFrame, dataset: DataFrame) ->
             F.col("maintained") & F.col("counts") & F.col("nrlg_smaint").isNotNull() & F.col("nrlg_dept_route").isNotNull()
         )
         .groupBy(concat_present("nrlg_dept_route", "nrlg_dept_roadbed").alias("corridor_code_rb"), "nrlg_smaint")
-        .agg(F.min("begmile").alias("begmile"), F.sum("endmile").cast("double").alias("endmile"))
+        .agg(F.min("begmile").alias("begmile"), from_limbs([F.sum(f"limb{i}") for i in range(len(limbs(F.lit(0.0))))], 9).alias("endmile"))
         .drop("nrlg_smaint")
         .distinct()
     )
@@ -262,20 +289,17 @@ def survey_gap(
     """A record from the last surveyed mile to the last node, for corridors where the two differ.
 
     As in the source data, ``end_lat`` holds the x and ``end_lon`` the y coordinate (K27); ``swap_xy`` puts
-    them right. Corridor-level maxima are aggregated before anything is joined.
+    them right. Corridor-level maxima are aggregated before anything is joined; ``nodes`` is read
+    three times: pass a written table.
     """
     surveyed = segments.groupBy("corridor_code_rb").agg(F.max("end_mi").alias("max_end"))
-    # Nodes gather per (corridor, mile), so one pass keeps all nodes that share a corridor's last mile.
-    at_mile = nodes.where(F.col("gn_dcmi").isNotNull()).groupBy("dc_id", "gn_dcmi").agg(
-        F.collect_set(F.struct(F.col("gn_id").alias("node"), "tis_xcoord", "tis_ycoord")).alias("there")
-    )
-    last = at_mile.groupBy("dc_id").agg(F.max(F.struct(F.col("gn_dcmi"), F.col("there"))).alias("last"))
-    gaps = (
-        surveyed.join(last, F.col("corridor_code_rb") == F.col("dc_id"))
-        .where(F.col("max_end") != F.col("last.gn_dcmi"))
-        .select(F.col("dc_id").alias("gap_dc"), "max_end", F.col("last.gn_dcmi").alias("max_mile"), F.explode("last.there").alias("n"))
-        .select("gap_dc", "max_end", "max_mile", "n.*")
+    last = nodes.groupBy("dc_id").agg(F.max("gn_dcmi").alias("max_mile"))
+    short = surveyed.join(last, F.col("corridor_code_rb") == F.col("dc_id")).where(F.col("max_end") != F.col("max_mile"))
+    short = short.select(F.col("dc_id").alias("gap_dc"), "max_end", "max_mile")
+    there = nodes.select(
+        F.col("dc_id").alias("node_dc"), F.col("gn_dcmi").alias("node_mi"), F.col("gn_id").alias("node"), "tis_xcoord", "tis_ycoord"
     )
+    gaps = short.join(there, (F.col("gap_dc") == F.col("node_dc")) & (F.col("max_mile") == F.col("node_mi"))).drop("node_dc", "node_mi")
     carried = ["corridor_code_rb", "road_pathweb", "van_no", "corridor_code", "secfile_name", "road_van"]
     chosen = (
         segments.where(

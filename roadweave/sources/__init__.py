@@ -1,5 +1,25 @@
 """Reading, writing and the declared layouts of the input tables."""
 
-from roadweave.sources.tables import define_view, load, materialize, replace_table, snapshot
+from roadweave.sources.tables import (
+    current_version,
+    define_view,
+    expire_materialized,
+    expire_versions,
+    load,
+    materialize,
+    read_table,
+    replace_table,
+    snapshot,
+)
 
-__all__ = ["define_view", "load", "materialize", "replace_table", "snapshot"]
+__all__ = [
+    "current_version",
+    "define_view",
+    "expire_materialized",
+    "expire_versions",
+    "load",
+    "materialize",
+    "read_table",
+    "replace_table",
+    "snapshot",
+]

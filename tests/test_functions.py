@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
+import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +13,12 @@ from roadweave.functions import (
     concat_present,
     corridor_number,
     divide,
+    exact_sum,
+    from_limbs,
     km_to_mi,
     length_ratio_pct,
+    limbs,
+    milepost_to_double,
     milepost_to_number,
     per_capita,
     reference_point,
@@ -109,6 +116,45 @@ def test_mileposts_are_exact_until_the_end(frame):
     assert got == [(11.655, 11.6545), (1.0, 1.0001), (1.0, 1.0004), (12.0, 12.0), (0.5, 0.5), (0.0, 0.0)]
 
 
+POSTS = ["12+0.345", "12-0.5", "+0.3", "7", None, "", "105+1.25", "0-0.0005", "0-0.0004", "1-2.0005", "12345678+0.999999999", "123456789+0.5",
+         "3+0.1234567895", "3+00000001.5", "3+5", "x12+0.5", "12+0.5.", " 12+0.5", "1+0.0005", "7-7.0", "3+.5"]
+
+
+def test_mileposts_as_doubles_are_those_of_decimals(frame):
+    """Through the long and around it."""
+    df = frame("p string", [(p,) for p in POSTS if p != "12+0.5."])
+    got = df.select(*(f(F.col("p"), d).cast("double") for d in (0, 3, 9) for f in (milepost_to_double, milepost_to_number))).collect()
+    assert all(r[i] == r[i + 1] for r in got for i in (0, 2, 4))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        frame("p string", [("12+0.5.5",)]).select(milepost_to_double(F.col("p"))).collect()
+
+
+def test_exact_sums(spark):
+    rng = random.Random(1)
+    data = [rng.choice([rng.uniform(-1e6, 1e6), rng.gauss(0, 1), 0.1, -0.3, 1e-12, None, float("nan"), float("inf")]) for _ in range(4000)]
+    exact = sum(Fraction(x) for x in data if x is not None and math.isfinite(x))
+    df = spark.createDataFrame([(x, i % 3) for i, x in enumerate(data)], "x double, k int")
+    for digits in (3, 9, 12):
+        sums = {df.repartition(n).agg(exact_sum(F.col("x"), digits).alias("s")).first().s for n in (1, 7, 64)}
+        assert sums == {float(Fraction(round(exact * 10**digits), 10**digits))}
+    parts = df.repartition(7, "k").groupBy("k").agg(*(F.sum(v).alias(f"l{i}") for i, v in enumerate(limbs(F.col("x")))))
+    assert parts.agg(from_limbs([F.sum(f"l{i}") for i in range(4)], 12).alias("s")).first().s == float(Fraction(round(exact * 10**12), 10**12))
+
+
+@pytest.mark.parametrize(
+    ("data", "digits", "total"),
+    [([], 9, None), ([None], 9, None), ([float("nan")], 9, None), ([-0.5, -0.25], 1, -0.8), ([0.5, 0.25], 1, 0.8), ([0.1] * 10, 9, 1.0),
+     ([1e-12] * 1000, 12, 1e-9), ([1e15, 0.1, -1e15], 9, 0.1), ([0.1, 0.2], 9, 0.3), ([-1e-300], 9, 0.0), ([2.0**62, -(2.0**62), 3.5], 9, 3.5)],
+)
+def test_exact_sum_cases(frame, data, digits, total):
+    assert frame("x double", [(x,) for x in data]).agg(exact_sum(F.col("x"), digits).alias("s")).first().s == total
+
+
+def test_sums_beyond_a_long_raise(frame):
+    with pytest.raises(Exception, match="OVERFLOW"):
+        frame("x double", [(2.0**62,), (2.0**62,)]).agg(exact_sum(F.col("x"))).collect()
+
+
 def test_reference_points_beyond_ten_miles(frame):
     df = frame("m int, o double", [(5, 0.5), (5, 12.5), (7, 100.25), (1234, 3.125)])
     text = reference_point(F.col("m"), F.col("o"))

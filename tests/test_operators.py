@@ -92,6 +92,17 @@ def test_interval_join_is_the_same_for_all_bins_and_salts(frame, seed, bin, salt
     assert rows(ops.interval_join(points, spans, ("r", "s"), "km", "lo", "hi", bin, salt=salt)) == rows(plain)
 
 
+def test_left_interval_join_keeps_repeated_points(frame):
+    points = frame("r string, km double", [("A", 1.0), ("A", 1.0), ("A", 99.0), ("A", 99.0), (None, 1.0), ("B", None)])
+    spans = frame("s string, lo double, hi double", [("A", 0.0, 2.0), ("A", 0.0, 2.0), ("A", 0.5, 60.0), ("A", 1.0, 1.0)])
+    for salt in (1, 3):
+        got = ops.interval_join(points, spans, ("r", "s"), "km", "lo", "hi", bin=2.0, how="left", salt=salt)
+        assert rows(got) == rows(points.join(spans, F.expr("r = s and km between lo and hi"), "left"))
+        assert got.where("lo is not null").count() == 8 and got.where("lo is null").count() == 4
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip("+-: ").startswith("Join ") for line in text.splitlines()) == 1
+
+
 def test_interval_join_rejects_other_joins(frame):
     df = frame("a int, b double", [(1, 1.0)])
     with pytest.raises(ValueError):
@@ -203,6 +214,7 @@ def test_next_value_equals_one_window(frame, seed, width):
         "select *, lead(c) over (partition by r order by m asc nulls last, c asc nulls last) as n from posts"
     )
     assert rows(ops.next_value(df, "r", "m", "c", F.floor(F.col("m") / width), "n")) == rows(plain)
+    assert rows(ops.next_value(df, "r", "m", "c", into="n")) == rows(plain)
 
 
 def test_top_per_group(frame):
@@ -273,15 +285,103 @@ def test_quantiles_are_exact_for_any_values(frame, spark):
     assert found[:7] == [-inf, -1.5, 0.0, 5e-324, 1e300, inf, inf] and found[7] != found[7]
 
 
-def test_quantiles_of_close_values_are_found_in_small_buckets(spark):
-    """A million values within a ten-thousandth of each other: no last bucket holds more than a few."""
-    df = spark.range(1_000_000).select((1e9 + F.col("id") / 10).alias("v"))
+@pytest.fixture
+def crowded(monkeypatch):
+    """Brackets and further passes also for a few thousand rows."""
+    monkeypatch.setattr(ordering, "_CROWD", 50)
+    monkeypatch.setattr(ordering, "_GRID", 40)
+    monkeypatch.setattr(ordering, "_ACCURACY", 1000)
+
+
+def test_quantiles_by_several_passes(spark, frame, crowded, monkeypatch):
+    passes = []
+    real = ordering._narrowed
+    monkeypatch.setattr(ordering, "_narrowed", lambda *a: passes.append(real(*a)) or passes[-1])
+    rng = random.Random(4)
+    data = [rng.choice([None, float("inf"), -float("inf"), float("nan"), 7.5, rng.gauss(0, 1), rng.gauss(0, 1) * 1e9, rng.random() * 1e-300]) for _ in range(3000)]
+    df = frame("v double", [(x,) for x in data]).repartition(5)
+    fractions = tuple(k / 16 for k in range(17))
+    rank = lambda x: (x is not None, x != x if x is not None else False, 0.0 if x is None or x != x else x)
+    ordered = sorted(data, key=rank)
+    got = {r.fraction: r.v for r in ops.rank_quantiles(df, "v", fractions).collect()}
+    assert repr(got) == repr(dict(sorted(got.items()))) or got.keys() == set(fractions[1:])
+    assert {q: repr(v) for q, v in got.items()} == {q: repr(ordered[int(3000 * q) - 1]) for q in fractions[1:]}
+    assert len(passes) > 1
+
+
+def test_quantiles_of_close_values_and_long_decimals(spark, frame, crowded):
+    df = spark.range(100_000).select((1e9 + F.col("id") / 10).alias("v"))
     got = {r.fraction: r.v for r in ops.rank_quantiles(df, "v", (0.25, 0.5, 0.75)).collect()}
-    assert got == {0.25: 1e9 + 24999.9, 0.5: 1e9 + 49999.9, 0.75: 1e9 + 74999.9}
-    for bits in ordering._STEPS:
-        sizes = df.groupBy(F.shiftright(ordering._place(F.col("v")), bits).alias("b")).count()
-        largest = sizes.agg(F.max("count")).first()[0]
-    assert largest < 100
+    assert got == {0.25: 1e9 + 2499.9, 0.5: 1e9 + 4999.9, 0.75: 1e9 + 7499.9}
+    exact = spark.range(1000).select((F.lit("1234567890123456789").cast("decimal(38,12)") + (F.col("id") / 1000).cast("decimal(38,12)")).alias("v"))
+    ordered = sorted(r.v for r in exact.collect())
+    assert [r.v for r in ops.rank_quantiles(exact, "v", (0.1, 0.9)).orderBy("fraction").collect()] == [ordered[99], ordered[899]]
+
+
+def test_quantiles_of_an_empty_table(frame):
+    assert rows(ops.rank_quantiles(frame("v double", []), "v", (0.5, 1.0))) == []
+    assert rows(ops.rank_quantiles(frame("v double", [(None,)] * 5), "v", (0.1, 1.0))) == [(1.0, None)]
+
+
+def test_a_quantile_costs_two_scans_and_few_exchanges(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_quantity")
+    text = ops.rank_quantiles(df, "l_quantity", (0.25, 0.5))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange ") <= 3  # the other scan has one exchange, of one row
+
+
+# --- numbering ---------------------------------------------------------------------------------------------------
+
+
+@few
+@given(st.lists(st.tuples(small, st.sampled_from(["x", "y", None])), max_size=40))
+def test_numbered_equals_row_number(frame, data):
+    df = frame("a int, b string", data).repartition(3)
+    order = [F.col("b").desc_nulls_first()]
+    ordered = sorted(data, key=lambda r: ({None: 0, "y": 1, "x": 2}[r[1]], r[0] is None, r[0] or 0))
+    assert rows(ops.numbered(df, order)) == sorted(((*r, i) for i, r in enumerate(ordered, 1)), key=lambda r: [(v is None, str(type(v)), v) for v in r])
+
+
+def test_numbering_a_row_that_fills_the_table(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "REPEATS", 64)
+    df = spark.range(10_000).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).alias("v"))
+    got = [(r.v, r.place) for r in ops.numbered(df, [F.col("v").asc()]).orderBy("place").collect()]
+    assert got == list(zip(sorted(0 if i % 3 < 2 else i for i in range(10_000)), range(1, 10_001)))
+    groups = {r.v: (r.n, r.place) for r in ops.place_of_groups(df, [F.col("v").desc()]).collect()}
+    assert groups[0] == (6667, 3334) and groups[9998] == (1, 1) and len(groups) == 3334
+
+
+# --- matches by classes --------------------------------------------------------------------------------------------
+
+
+def test_match_classes_count_what_a_join_writes(frame):
+    left = frame("k int, m int, a string", [(1, 1, "x"), (1, 1, "x"), (1, 2, "y"), (2, 1, "z"), (None, 1, "n")])
+    right = frame("k int, b int", [(1, 10), (1, 11), (3, 12), (None, 13)])
+    third = frame("m int, c int", [(1, 5), (1, 6), (1, 7), (2, 8)])
+    found = ops.match_classes({"l": left, "r": right, "t": third}, ["k", "m"])
+    assert rows(found.classes) == [(1, 1, 2, 2, 3, 12), (1, 2, 1, 2, 1, 2)]
+    assert rows(found.members("l")) == [(1, 1, "x"), (1, 1, "x"), (1, 2, "y")]
+    assert rows(found.members("r")) == [(1, 10), (1, 11)] and found.members("t").count() == 4
+    joined = left.join(right, "k").join(third, "m")
+    assert rows(found.expanded().select("k", "m", "a", "b", "c")) == rows(joined.select("k", "m", "a", "b", "c"))
+    assert rows(found.expanded(F.col("rows") < 10).select("k", "m", "a", "b", "c")) == [(1, 2, "y", 10, 8), (1, 2, "y", 11, 8)]
+
+
+def test_a_key_with_a_third_of_both_sides_costs_its_sum(spark):
+    """Thirty billion matches of one key, none written."""
+    one = lambda n, c: spark.range(n, numPartitions=4).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias(c))
+    found = ops.match_classes({"a": one(600_000, "x"), "b": one(450_000, "y")}, ["k"])
+    top = found.classes.orderBy(F.desc("rows")).first()
+    assert tuple(top) == (-1, 200_000, 150_000, 30_000_000_000)
+    assert found.classes.count() == 300_001 and found.members("b").count() == 450_000
+    assert found.expanded(F.col("rows") == 1).count() == 300_000
+
+
+def test_more_matches_than_a_long_holds(frame, monkeypatch):
+    many = frame("k int, n bigint", [(1, 1)] * 3)
+    classes = ops.match_classes({c: many.select("k", F.col("n").alias(c)) for c in "abc"}, ["k"]).classes
+    assert rows(classes) == [(1, 3, 3, 3, 27)]
+    huge = classes.select(F.try_multiply(F.lit(1 << 62), F.col("a_rows")).alias("v"))
+    assert huge.first().v is None
 
 
 def test_one_interval_over_a_whole_hot_route(frame, spark):

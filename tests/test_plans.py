@@ -188,7 +188,9 @@ def test_add_back_missing_corridors(frame):
 def test_delivery_order(frame):
     row = lambda dir, lane, mi: {"van_no": 1, "secfile_name": "X", "corridor_code_rb": "A", "dir": dir, "lane": lane, "begin_mi": mi}
     segs = _segments(frame, [row("D", 1, 5.0), row("I", 1, 2.0), row(None, 1, 1.0), row("I", 1, None), row("I", None, 0.0), row("D", 1, 3.0)])
-    got = [(r.dir, r.lane, r.begin_mi) for r in corridors.in_delivery_order(segs).collect()]
+    placed = corridors.in_delivery_order(segs).orderBy("place").collect()
+    got = [(r.dir, r.lane, r.begin_mi) for r in placed]
+    assert [r.place for r in placed] == [1, 2, 3, 4, 5, 6]
     assert got == [(None, 1, 1.0), ("I", 1, 2.0), ("I", 1, None), ("I", None, 0.0), ("D", 1, 3.0), ("D", 1, 5.0)]
 
 

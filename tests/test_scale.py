@@ -18,9 +18,9 @@ from roadweave.plans import countylines, nodes  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES = registered()
-# One row per fraction or per table is gathered here, never the rows of a table.
+# One row per fraction, per table or per range is gathered here, never the rows of a table.
 GATHERS = {"min_scalar_filter", "global_total", "quartile_rows", "length_outliers", "iqr_filter", "iqr_filter_distress",
-           "corridor_candidates_literal", "corridor_extremes_literal"}
+           "corridor_candidates_literal", "corridor_extremes_literal", "delivered_rows"}
 
 
 def plan(df) -> str:
@@ -43,7 +43,7 @@ def test_no_plan_pairs_all_rows_or_runs_python(spark, no_broadcast, name):
     text = plan(QUERIES[name](spark, SMALL))
     for operator in ("CartesianProduct", "NestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "Scan ExistingRDD"):
         assert operator not in text, operator
-    if name not in GATHERS and name != "delivered_rows":
+    if name not in GATHERS:
         # the levels of interval lengths are gathered: a handful of numbers, made distinct before
         levels = text.count("partial_collect_set(__level")
         assert text.count("SinglePartition") == levels
@@ -98,11 +98,26 @@ def test_crossings_of_a_hot_route(spark, hot):
     assert rows(countylines.county_crossings(hot)) == rows(expected)
 
 
-def test_a_hot_route_is_ordered_in_many_pieces(spark, hot):
-    """The window over whole routes only sees the ends of the buckets."""
-    pieces = hot.where("nrlg_dept_route = 'HOT'").select(F.substring("nrlg_milepoint", 1, 3).alias("b"), "nrlg_milepoint").distinct()
-    sizes = [r["count"] for r in pieces.groupBy("b").count().collect()]
-    assert len(sizes) > 100 and max(sizes) < sum(sizes) / 20
+def test_nine_tenths_of_a_route_within_one_mile(spark):
+    """The ranges are sampled from the posts themselves: no task orders more than a few times its share."""
+    n = spark.range(40_000, numPartitions=8)
+    mile = F.when(F.col("id") % 10 < 9, F.lit(17)).otherwise(F.col("id") % 300)
+    posts = n.select(
+        F.when(F.col("id") % 50 < 49, F.lit("HOT")).otherwise(F.lit("COLD")).alias("nrlg_dept_route"),
+        F.concat(mile.cast("string"), F.lit("+0."), F.lpad(F.col("id").cast("string"), 6, "0")).alias("nrlg_milepoint"),
+        F.concat(F.lit("K"), (F.col("id") % 7).cast("string")).alias("nrlg_county"),
+    )
+    posts.createOrReplaceTempView("dense_posts")
+    for numeric, order in ((False, "nrlg_milepoint"), (True, "cast(replace(nrlg_milepoint, '+0.', '.') as double)")):
+        expected = spark.sql(
+            f"""select nrlg_dept_route, nrlg_milepoint, nrlg_county, n from (
+            select *, lead(nrlg_county) over (partition by nrlg_dept_route order by {order}, nrlg_county) n from dense_posts)
+            where nrlg_county <> n"""
+        )
+        assert rows(countylines.county_crossings(posts, numeric)) == rows(expected)
+    keys = [F.col("nrlg_dept_route").asc_nulls_first(), F.col("nrlg_milepoint").asc_nulls_last()]
+    dealt = posts.repartitionByRange(16, *keys).groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in dealt.collect()) < 3 * 40_000 / 16
 
 
 def test_hot_point_key_is_split_by_bins(spark, hot):

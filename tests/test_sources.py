@@ -1,13 +1,26 @@
 from __future__ import annotations
 
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from roadweave.sources import define_view, load, materialize, replace_table, snapshot
-from roadweave.sources import schemas
+from roadweave.sources import (
+    current_version,
+    define_view,
+    expire_materialized,
+    expire_versions,
+    load,
+    materialize,
+    read_table,
+    replace_table,
+    schemas,
+    snapshot,
+    tables,
+)
 from roadweave.sources.derived import DERIVED, Inputs, as_ctes, reads
 from roadweave.sources.tables import shared_folder
 
@@ -53,14 +66,61 @@ def test_a_view_is_lazy_and_usable_from_sql(spark):
 
 def test_replace_table(spark, tmp_path):
     path = f"{tmp_path}/t"
-    materialize(spark.range(3), path)
+    with pytest.raises(FileNotFoundError):
+        current_version(spark, path)
     assert replace_table(spark.range(7), path).count() == 7
-    assert replace_table(spark.read.parquet(path).where("id > 1"), path, keys=["id"]).count() == 5
-    twice = spark.read.parquet(path).union(spark.read.parquet(path))
+    assert replace_table(read_table(spark, path).where("id > 1"), path, keys=["id"]).count() == 5
+    twice = read_table(spark, path).union(read_table(spark, path))
     with pytest.raises(ValueError, match="violated"):
         replace_table(twice, path, keys=["id"])
-    assert spark.read.parquet(path).count() == 5
-    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert read_table(spark, path).count() == 5
+    assert len(list((tmp_path / "t").glob("v*"))) == 2 == len(list((tmp_path / "t" / "pointers").glob("[0-9]*")))
+
+
+def test_a_reader_finds_a_whole_table_at_every_step(spark, tmp_path, monkeypatch):
+    """Looked at before the write, after the data, after the check, and after the pointer."""
+    path, seen = f"{tmp_path}/t", []
+    replace_table(spark.range(3), path)
+    open_frame = read_table(spark, path)
+
+    def watched(step):
+        return lambda *args, **kwargs: (seen.append(read_table(spark, path).count()), step(*args, **kwargs), seen.append(read_table(spark, path).count()))[1]
+
+    for name in ("materialize", "assert_key"):
+        monkeypatch.setattr(tables, name, watched(getattr(tables, name)))
+    replace_table(spark.range(10), path, keys=["id"])
+    assert seen and set(seen) == {3} and read_table(spark, path).count() == 10
+    assert open_frame.count() == 3  # made before the replacement
+
+
+def test_expiry_leaves_what_is_still_read(spark, tmp_path):
+    path, hour = f"{tmp_path}/t", 3600
+    replace_table(spark.range(3), path)
+    first = read_table(spark, path)
+    replace_table(spark.range(4), path)
+    replace_table(spark.range(5), path)
+    assert expire_versions(spark, path, older_than=hour) == []
+    assert first.count() == 3  # replaced a moment ago
+    lost = tmp_path / "t" / f"v{'0' * 32}"
+    lost.mkdir()
+    later = time.time() + 2 * hour
+    assert len(expire_versions(spark, path, older_than=hour, now=later)) == 3 and not lost.exists()
+    assert read_table(spark, path).count() == 5  # the present version is older still, and stays
+    assert expire_versions(spark, path, older_than=0, now=later) == []
+    assert replace_table(spark.range(6), path).count() == 6  # numbers go on
+
+
+def test_expiry_of_materialized_tables(spark, shared):
+    table, other = materialize(spark.range(3)), materialize(spark.range(4), f"{shared}/named")
+    assert expire_materialized(spark, older_than=3600) == [] and table.count() == 3
+    folder = table.inputFiles()[0].rsplit("/", 2)[1]
+    real = tables._listed
+    try:  # only this test's table has grown old
+        tables._listed = lambda s, p: [(n, 0.0 if n == folder else t) for n, t in real(s, p)]
+        assert [f.rsplit("/", 1)[1] for f in expire_materialized(spark, older_than=3600)] == [folder]
+    finally:
+        tables._listed = real
+    assert not list(Path(shared).glob(folder)) and other.count() == 4
 
 
 def test_snapshot_prunes_columns(spark, tmp_path):
