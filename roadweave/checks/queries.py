@@ -316,7 +316,7 @@ def surveyed_segments(t: Inputs) -> DataFrame:
 @query
 def county_lines_inside_segments(t: Inputs) -> DataFrame:
     """C19 with lines inside the segment (K2), E5, E6, E7, E9, J2, J4, A9"""
-    return countylines.place_county_lines(county_crossings(t), surveyed_segments(t))
+    return countylines.place_county_lines(county_crossings(t), materialize(surveyed_segments(t)))
 
 
 @query

@@ -30,31 +30,31 @@ def milepost_to_number(col: Column, digits: int | None = 3) -> Column:
     return mile if digits is None else F.round(mile, digits).cast(f"decimal(18,{digits})")
 
 
-# Mileposts whose miles and parts of a mile fit a long, in units of 10**-_PLACES.
-_PLACES = 9
-_SHORT_POST = f"^[0-9]{{1,8}}[+-][0-9]{{1,8}}[.][0-9]{{1,{_PLACES}}}$"
+# Mileposts whose millionths a double holds exactly.
+_PLACES = 6
+_SHORT_POST = "^[0-9]{1,8}[+-][0-9]{1,4}[.][0-9]{1,6}$"
 
 
 def milepost_to_double(col: Column, digits: int = 3) -> Column:
     """``milepost_to_number`` as a double.
 
-    Texts such as ``'12+0.345'`` are read into a long of billionths, without a decimal; others, with more digits than
+    Texts such as ``'12+0.345'`` are read into whole millionths, without a decimal; others, with more digits than
     fit or a part missing, go the exact way, as do results of more than 6 digits, which a double may not hold.
     """
     exact = milepost_to_number(col, digits).cast("double")
-    if digits > 6:
+    if digits > _PLACES:
         return exact
-    sign = F.when(F.contains(col, F.lit("-")), F.lit(-1)).otherwise(F.lit(1))
-    ends = F.replace(F.substring_index(col, ".", 1), F.lit("-"), F.lit("+"))
-    part = F.substring_index(col, ".", -1)
-    miles, more = (F.substring_index(ends, "+", n).cast("bigint") for n in (1, -1))
-    unit = 10**_PLACES
-    below = F.rpad(part, _PLACES, "0").cast("bigint")
-    billionths = miles * unit + sign * (more * unit + below)
-    step = 10 ** (_PLACES - digits)
-    rounded = F.call_function("div", F.abs(billionths) + F.lit(step // 2), F.lit(step)) * F.signum(billionths).cast("bigint")
-    short = rounded / F.lit(float(10**digits))
-    return F.when(col.rlike(_SHORT_POST), short).otherwise(exact)
+    unit, step = float(10**_PLACES), float(10 ** (_PLACES - digits))
+
+    def short(sign: str) -> Column:
+        miles, offset = (F.substring_index(col, sign, n).cast("double") for n in (1, -1))
+        # The nearest whole number is the text's own, as a double's error is far below a half here.
+        millionths = miles * unit + (1 if sign == "+" else -1) * F.rint(offset * unit)
+        size = F.floor((F.abs(millionths) + step / 2) / step) / F.lit(float(10**digits))
+        return size if sign == "+" else F.when(millionths < 0, F.lit(0.0) - size).otherwise(size)
+
+    ahead = F.contains(col, F.lit("+"))
+    return F.when(col.rlike(_SHORT_POST), F.when(ahead, short("+")).otherwise(short("-"))).otherwise(exact)
 
 
 def reference_point(marker: Column, offset: Column) -> Column:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, or_
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -133,9 +132,9 @@ def running_count_at_key(
 # Bits of a value's place after the binary point of its logarithm.
 _PLACE_BITS = 40
 _PAST = 1 << 52  # the place of infinity; NaN comes after it, and null before everything
-# A summary is asked for so many values at equal distances of rank, and may be wrong by one in ``_ACCURACY`` of the rows.
-_GRID, _ACCURACY = 2000, 20_000
-# Values that one task may order, about.
+# Bits below the cells of the counting passes: cells are a thousandth of a doubling wide, then 2**-30 and 2**-40 of one.
+_SHIFTS = (30, 10, 0)
+# Rows that one task may order, about.
 _CROWD = 1 << 20
 
 
@@ -151,52 +150,47 @@ def _place(col: Column) -> Column:
     return F.when(col.isNull(), -past - 1).otherwise(placed)
 
 
-class _Bracket(NamedTuple):
-    """Places between which a wanted row lies, both included, and about how many rows do."""
-
-    lo: int
-    hi: int
-    rows: float
-
-
-def _narrowed(placed: DataFrame, brackets: Sequence[_Bracket], wanted: Sequence[int] | None, fractions: Sequence[float]):
-    """(rows in all, wanted rows, narrower brackets) by one pass with a mergeable rank summary of each bracket."""
-    grid = F.array(*(F.lit(i / _GRID) for i in range(_GRID + 1)))
-    aggs = [F.count(F.lit(1)).alias("n")]
-    distinct = list(dict.fromkeys(brackets))
-    for i, b in enumerate(distinct):
-        inside = F.col("place").between(b.lo, b.hi)
-        aggs += [
-            F.count_if(F.col("place") < b.lo).alias(f"below{i}"), F.count_if(inside).alias(f"inside{i}"),
-            F.percentile_approx(F.when(inside, F.col("place")), grid, _ACCURACY).alias(f"grid{i}"),
-        ]
-    found = placed.agg(*aggs).first()
-    wanted = wanted or [math.floor(found["n"] * q) for q in fractions]
-    narrow = []
-    for row, b in zip(wanted, brackets):
-        i = distinct.index(b)
-        inside, points = found[f"inside{i}"], found[f"grid{i}"]
-        if not points:
-            narrow.append(b)
-            continue
-        # One point more on either side than rounding and the summary's error ask for.
-        at, slack = (row - found[f"below{i}"]) / inside * _GRID, 1 + 2 * _GRID / _ACCURACY + 2 * _GRID / inside
-        first, last = math.floor(at - slack), math.ceil(at + slack)
-        lo = b.lo if first < 0 else points[first]
-        hi = b.hi if last > _GRID else points[last]
-        narrow.append(_Bracket(lo, hi, inside * (last - first) / _GRID))
-    return found["n"], wanted, narrow
-
-
-def _apart(brackets: Sequence[_Bracket]) -> list[tuple[int, int]]:
-    """The places of all brackets as spans in order that don't meet."""
-    spans: list[tuple[int, int]] = []
-    for b in sorted(brackets):
-        if spans and b.lo <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(spans[-1][1], b.hi))
-        else:
-            spans.append((b.lo, b.hi))
-    return spans
+class _Cell(NamedTuple):
+    """Where a wanted row lies: in the places that begin with the bits ``cell``, of which ``rows`` follow ``below`` others."""
+
+    fraction: float
+    row: int
+    cell: int
+    shift: int
+    below: int
+    rows: int
+
+    def holds(self) -> Column:
+        return F.shiftright("place", self.shift) == self.cell
+
+
+def _first_cells(placed: DataFrame, fractions: Sequence[float]) -> list[_Cell]:
+    """One pass that counts the rows of each cell: a summary of ranks that merges by addition."""
+    shift, every = _SHIFTS[0], Window.partitionBy(F.lit(1))
+    counts = placed.groupBy(F.shiftright("place", shift).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    upto = every.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("through", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(every))
+    asked = F.array(*(F.struct(F.lit(q).alias("q"), F.floor(F.col("total") * F.lit(q)).alias("row")) for q in map(float, fractions)))
+    holds = lambda w: (F.col("through") - F.col("n") < w["row"]) & (w["row"] <= F.col("through"))
+    found = running.select("cell", "n", "through", F.explode(F.filter(asked, holds)).alias("w")).collect()
+    return [_Cell(r.w.q, r.w.row, r.cell, shift, r.through - r.n, r.n) for r in found]
+
+
+def _counted(placed: DataFrame, cells: Sequence[_Cell], by: Column, name: str) -> DataFrame:
+    """One pass over the rows in some cells: which of ``cells``, each value of ``by``, its rows, and the rows through it."""
+    distinct = list({(c.cell, c.shift): c for c in cells}.values())
+    place = F.coalesce(*(F.when(c.holds(), F.lit(i)) for i, c in enumerate(distinct)))
+    below = F.coalesce(*(F.when(F.col("within") == i, F.lit(c.below)) for i, c in enumerate(distinct)))
+    inside = placed.where(reduce(or_, (c.holds() for c in distinct)))
+    counts = inside.groupBy(place.alias("within"), by.alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("within").orderBy(F.col(name).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("through", below + F.sum("n").over(upto))
+    asked = F.array(*(
+        F.struct(F.lit(c.fraction).alias("q"), F.lit(c.row).cast("bigint").alias("row"), F.lit([(d.cell, d.shift) for d in distinct].index((c.cell, c.shift))).alias("at"))
+        for c in cells
+    ))
+    holds = lambda w: (w["at"] == F.col("within")) & (F.col("through") - F.col("n") < w["row"]) & (w["row"] <= F.col("through"))
+    return running.select(name, "n", "through", F.explode(F.filter(asked, holds)).alias("w"))
 
 
 def rank_quantiles(df: DataFrame, col: str, fractions: Sequence[float]) -> DataFrame:
@@ -205,37 +199,27 @@ def rank_quantiles(df: DataFrame, col: str, fractions: Sequence[float]) -> DataF
     Nulls sort first and count as rows. A fraction whose row number is 0 finds none. The result is exact and of
     the column's type:
 
-    1. one pass, run at once, with a mergeable summary of ranks brings a few numbers to the driver: between which values
-       each wanted row lies. Where too many rows do (over 400 million rows in all, about), another pass narrows that;
-    2. one more pass counts the rows below and between the brackets, and the rows of each value inside them. A running
-       count over those few values finds the wanted ones.
+    1. one pass, run at once, counts rows per cell of close values, a histogram that merges by addition, and brings to the
+       driver the cell of each wanted row and how many rows come before it. Only where a cell has over a million rows
+       another pass divides those cells;
+    2. one more pass counts the rows of each value inside the cells. A running count over those finds the wanted values.
 
     So neither the rows nor the distinct values are ever sorted as a whole, and a repeated value is one counted row.
-    Brackets are of places, which values within 10**-12 of their size may share: longs beyond 2**53 and decimals of many
-    digits are ordered exactly inside a bracket, but not narrowed further. A bracket that missed its row would raise.
+    The last cells are 10**-12 of a value wide: some thousand doubles at most, whatever the table. Longs beyond 2**53 and
+    decimals of many digits are ordered exactly inside a cell, but not divided further.
     """
     value = df.select(F.col(col).alias("value"))
     placed = value.select("value", _place(F.col("value").cast("double")).alias("place"))
-    whole = _Bracket(-_PAST - 1, _PAST + 1, float("inf"))
-    brackets, wanted = [whole] * len(fractions), None
-    while True:
-        n, wanted, narrow = _narrowed(placed, brackets, wanted, fractions)
-        done = n <= _CROWD or all(b.rows <= _CROWD or b.hi == b.lo or (b.lo, b.hi) == (a.lo, a.hi) for a, b in zip(brackets, narrow))
-        brackets = narrow
-        if done:
-            break
-    spans = _apart([b for b, row in zip(brackets, wanted) if row > 0]) or [(0, 0)]
-    inside = reduce(or_, (F.col("place").between(lo, hi) for lo, hi in spans))
-    # Even slots lie between the brackets, odd ones in them.
-    slot = reduce(add, ((F.col("place") > hi).cast("int") * 2 + F.col("place").between(lo, hi).cast("int") for lo, hi in spans))
-    counts = placed.groupBy(slot.alias("slot"), F.when(inside, F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy(F.lit(1)).orderBy("slot", F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.withColumn("through", F.sum("n").over(upto))
-    asked = F.array(*(F.struct(F.lit(float(q)).alias("fraction"), F.lit(row).cast("bigint").alias("row")) for q, row in zip(fractions, wanted)))
-    holds = lambda w: (F.col("through") - F.col("n") < w["row"]) & (w["row"] <= F.col("through"))
-    here = running.select("slot", "value", F.explode(F.filter(asked, holds)).alias("w"))
-    missed = F.raise_error(F.lit("a wanted row lies outside its bracket"))
-    return here.select("w.fraction", F.when(F.col("slot") % 2 == 1, F.col("value")).otherwise(missed).alias(col))
+    cells = _first_cells(placed, fractions)
+    for shift in _SHIFTS[1:]:
+        crowded = [c for c in cells if c.rows > _CROWD]
+        if crowded:
+            found = _counted(placed, crowded, F.shiftright("place", shift), "cell").collect()
+            cells = [c for c in cells if c.rows <= _CROWD]
+            cells += [_Cell(r.w.q, r.w.row, r.cell, shift, r.through - r.n, r.n) for r in found]
+    if not cells:
+        return value.limit(0).select(F.lit(0.0).alias("fraction"), F.col("value").alias(col))
+    return _counted(placed, cells, F.col("value"), "found").select(F.col("w.q").alias("fraction"), F.col("found").alias(col))
 
 
 def upper_fence_filter(

@@ -289,17 +289,20 @@ def survey_gap(
     """A record from the last surveyed mile to the last node, for corridors where the two differ.
 
     As in the source data, ``end_lat`` holds the x and ``end_lon`` the y coordinate (K27); ``swap_xy`` puts
-    them right. Corridor-level maxima are aggregated before anything is joined; ``nodes`` is read
-    three times: pass a written table.
+    them right. Corridor-level maxima are aggregated before anything is joined.
     """
     surveyed = segments.groupBy("corridor_code_rb").agg(F.max("end_mi").alias("max_end"))
-    last = nodes.groupBy("dc_id").agg(F.max("gn_dcmi").alias("max_mile"))
-    short = surveyed.join(last, F.col("corridor_code_rb") == F.col("dc_id")).where(F.col("max_end") != F.col("max_mile"))
-    short = short.select(F.col("dc_id").alias("gap_dc"), "max_end", "max_mile")
-    there = nodes.select(
-        F.col("dc_id").alias("node_dc"), F.col("gn_dcmi").alias("node_mi"), F.col("gn_id").alias("node"), "tis_xcoord", "tis_ycoord"
+    # Nodes gather per (corridor, mile), so one pass keeps all nodes that share a corridor's last mile.
+    at_mile = nodes.where(F.col("gn_dcmi").isNotNull()).groupBy("dc_id", "gn_dcmi").agg(
+        F.collect_set(F.struct(F.col("gn_id").alias("node"), "tis_xcoord", "tis_ycoord")).alias("there")
+    )
+    last = at_mile.groupBy("dc_id").agg(F.max("gn_dcmi").alias("max_mile"), F.max_by("there", "gn_dcmi").alias("there"))
+    gaps = (
+        surveyed.join(last, F.col("corridor_code_rb") == F.col("dc_id"))
+        .where(F.col("max_end") != F.col("max_mile"))
+        .select(F.col("dc_id").alias("gap_dc"), "max_end", "max_mile", F.explode("there").alias("n"))
+        .select("gap_dc", "max_end", "max_mile", "n.*")
     )
-    gaps = short.join(there, (F.col("gap_dc") == F.col("node_dc")) & (F.col("max_mile") == F.col("node_mi"))).drop("node_dc", "node_mi")
     carried = ["corridor_code_rb", "road_pathweb", "van_no", "corridor_code", "secfile_name", "road_van"]
     chosen = (
         segments.where(
