@@ -86,12 +86,7 @@ line as (
 ),
 dup as (select r, count(*) - count(distinct x) as n_dup_lines from line group by r),
 h as (select distinct host, t, substr(md5(line), 1, 16) as h from line),
-firsts as (select host, t, min(h) as h1, min(h) filter (where not is_first) as h2 from (
-    select *, h = min(h) over (partition by host, t) as is_first from h) group by host, t),
-freq as (
-    select h.host, h.h, count(distinct case when h.h = f.h1 then coalesce(f.h2, '') else f.h1 end) as n
-    from h join firsts f on h.host is not distinct from f.host and h.t = f.t group by h.host, h.h
-),
+freq as (select host, h, count(*) as n from h group by host, h),
 sizes as (select "source" as host, count(distinct coalesce("text", '')) as docs from documents group by "source"),
 common as (
     select freq.host, freq.h from freq join sizes on freq.host is not distinct from sizes.host where n > 5 and n * 100 > docs * 5
@@ -110,7 +105,7 @@ m as (
 )
 select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
     not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) 
-        and (n_words - n_boilerplate_words >= 10 or 100 * (n_words - n_boilerplate_words) >= 50 * n_words) as kept
+        and n_words - n_boilerplate_words >= 10 and 100 * (n_words - n_boilerplate_words) >= 50 * n_words as kept
 from m
 """
 

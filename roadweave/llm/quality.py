@@ -1,8 +1,8 @@
 """Quality rules with the frequency of lines across documents, by built-in functions alone.
 
 Lines are normalised (lower case, one space for white space, trimmed) and hashed. A line that is in too many distinct
-documents of a host is boilerplate. Copies of one text, near copies included, must not make each other's lines
-boilerplate, so a document is told apart by the smallest hash among its other lines: documents that share it count once.
+documents of a host is boilerplate. Exact copies of one text are one document, so that they don't make each other's
+lines boilerplate; near copies are documents of their own.
 """
 
 from __future__ import annotations
@@ -95,15 +95,9 @@ def frequent_lines(
     measures: DataFrame, least: int = LEAST_DOCUMENTS, percent: int = MAX_HOST_PERCENT
 ) -> DataFrame:
     """host, line, n_documents of lines in more than ``least`` and ``percent`` of the host's distinct documents."""
-    distinct = F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["line"])))
-    docs = measures.select("host", "text_key", distinct.alias("_lines")).withColumns(
-        {"_first": F.get("_lines", F.lit(0)), "_second": F.get("_lines", F.lit(1))}
-    )
-    each = docs.select("host", "_first", "_second", F.explode("_lines").alias("line"))
-    other = F.coalesce(F.when(F.col("line") == F.col("_first"), F.col("_second")).otherwise(F.col("_first")), F.lit(""))
-    counts = each.groupBy("host", "line", other.alias("other")).agg(F.count("*").alias("n")).groupBy("host", "line").agg(
-        F.count("*").alias("n_documents")
-    )
+    distinct = F.array_distinct(F.transform("lines", lambda x: x["line"]))
+    docs = measures.select("host", "text_key", distinct.alias("_lines")).dropDuplicates(["host", "text_key"])
+    counts = docs.select("host", F.explode("_lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n_documents"))
     sizes = measures.groupBy("host", "text_key").agg(F.count("*").alias("n")).groupBy(F.col("host").alias("h_host")).agg(
         F.count("*").alias("host_documents")
     )
@@ -126,7 +120,7 @@ def _judged(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     gone = F.coalesce("removed", F.lit(0))
     left = F.col("n_words") - gone
-    stays = (left >= MIN_WORDS) | (100 * left >= MIN_LEFT_PERCENT * F.col("n_words"))
+    stays = (left >= MIN_WORDS) & (100 * left >= MIN_LEFT_PERCENT * F.col("n_words"))
     return measures.drop("lines").join(removed, mine, "left").select(
         *key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         gone.alias("n_boilerplate_words"), (~failed & stays).alias("kept"), "gone_lines",
@@ -137,7 +131,7 @@ def judged(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: the base measures, words in boilerplate lines, base_failed and kept.
 
     Hosts are sources; null is a host. A document that passes the base rules is depleted, and goes, if fewer than ten
-    words and less than half of its words are left without boilerplate lines. Empty and null texts fail the base rules;
+    words, or less than half of its words, are left without boilerplate lines. Empty and null texts fail the base rules;
     an empty table gives an empty result.
     """
     return _judged(docs).drop("gone_lines")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 
+import pytest
 from edges import SPACE, TEXTS, by, edge_documents, no_documents, words
 
 from roadweave.llm import quality
@@ -26,7 +27,7 @@ def normal(line):
 
 
 def verdicts(docs):
-    """kept by brute force: lines counted in documents told apart by their smallest other line."""
+    """kept by brute force: lines counted in distinct documents of a host."""
     hashed = lambda x: hashlib.md5(x.encode()).hexdigest()[:16]
     lines = {i: [normal(x) for x in (t or "").split("\n") if words(x)] for i, (_, t, _, _) in enumerate(docs)}
     seen, texts = defaultdict(set), defaultdict(set)
@@ -34,13 +35,13 @@ def verdicts(docs):
         texts[host].add(text or "")
         own = sorted({hashed(x) for x in lines[i]})
         for h in own:
-            seen[host, h].add(next((o for o in own if o != h), ""))
+            seen[host, h].add(text)
     out = []
     for i, (_, text, _, host) in enumerate(docs):
         m = measures(text)
         gone = sum(len(words(x)) for x in lines[i] if len(seen[host, hashed(x)]) > 5 and 100 * len(seen[host, hashed(x)]) > 5 * len(texts[host]))
         left = m["n_words"] - gone
-        out.append(m | {"n_boilerplate_words": gone, "kept": not m["base_failed"] and (left >= 10 or 100 * left >= 50 * m["n_words"])})
+        out.append(m | {"n_boilerplate_words": gone, "kept": not m["base_failed"] and left >= 10 and 100 * left >= 50 * m["n_words"]})
     return out
 
 
@@ -81,26 +82,50 @@ def test_boilerplate_goes_and_depleted_documents_with_it(spark):
 
 def test_kept_documents_lose_their_boilerplate_lines(spark):
     banner = "Subscribe now to our newsletter and never miss any of the great offers we make to all readers"
-    docs = [(i, f"{banner}\n{own_line(i)}\n\n  {banner.upper()} \nMy  {own_line(i + 1000)}", "h", -1, "k") for i in range(40)]
+    docs = [(i, f"{banner}\n{own_line(i)}\n\n  {banner.upper()} \nMy  {own_line(i + 1000, 30)}", "h", -1, "k") for i in range(40)]
     docs += [(100, f"{banner}\nfew words", "h", -1, "k"), (200, f"{banner}\n{own_line(1)}", "other", -1, "k"), (201, None, "other", None, "k")]
     docs += [(i, own_line(i), "h", -1, "k") for i in (300, 300)]
     frame = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars int, kept string")
     out = quality.cleaned(frame)
     assert out.schema == frame.schema
-    want = [(i, f"{own_line(i)}\n\nMy  {own_line(i + 1000)}", "h", "k") for i in range(40)]
+    want = [(i, f"{own_line(i)}\n\nMy  {own_line(i + 1000, 30)}", "h", "k") for i in range(40)]
     want = [(*r[:3], len(r[1]), r[3]) for r in want] + [docs[41], *docs[43:]]
     assert [tuple(r.values()) for r in by(out, "doc_id")] == want
 
 
 def test_copies_do_not_make_each_other_boilerplate(spark):
-    """Exact copies, and near copies in which one line differs, keep their lines."""
+    """Exact copies are one document; near copies are documents of their own, so what they share is boilerplate."""
     shared = [own_line(k) for k in range(8)]
     docs = [(i, "\n".join(shared), None, "h") for i in range(60)]
-    docs += [(100 + i, "\n".join([*shared[:7], own_line(5000 + i)]), None, "h") for i in range(60)]
     docs += [(300 + i, own_line(7000 + i), None, "h") for i in range(20)]
     frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
     assert quality.passing(frame).count() == len(docs)
     check(spark, docs)
+    docs += [(100 + i, "\n".join([*shared[:7], own_line(5000 + i)]), None, "h") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in quality.passing(frame).collect()} == set(range(300, 320))
+    check(spark, docs)
+
+
+@pytest.mark.parametrize("lines", [5, 20, 40])
+def test_every_line_of_a_template_is_found(spark, lines):
+    """200 pages of one host that share a template, however many lines it has, with one or three lines of their own."""
+    template = [own_line(9000 + k, 6) for k in range(lines)]
+    docs = [(i, "\n".join([*template, *(own_line(3 * i + k, 40 * lines) for k in range(1 + 2 * (i % 2)))]), "h", -1, "k") for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars int, kept string")
+    out = {r.doc_id: r.text for r in quality.cleaned(frame).collect()}
+    assert out == {i: "\n".join(t.split("\n")[lines:]) for i, t, *_ in docs}
+    assert {r.n_boilerplate_words for r in quality.judged(frame).collect()} == {6 * lines}
+
+
+def test_depleted_whatever_is_left(spark):
+    """Of 1,000 words, 990 of boilerplate: ten words left are less than half."""
+    banner = "\n".join(own_line(8000 + k, 10) for k in range(99))
+    docs = [(i, f"{banner}\n{own_line(i, 10)}", None, "h") for i in range(40)]
+    docs += [(100 + i, f"{own_line(8000, 10)}\n{own_line(500 + i, 12)}", None, "h") for i in range(5)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in quality.passing(frame).collect()} == set(range(100, 105))
+    check(spark, docs)
 
 
 def test_repeated_windows(spark):
