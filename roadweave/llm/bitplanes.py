@@ -111,6 +111,11 @@ def plain(text: str) -> bool:
     return text.isascii() or bool(known()[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].all())
 
 
+def odd(run: list[str]) -> list[int]:
+    """Which texts of a run aren't plain. The run is looked at as a whole first, as next to all are."""
+    return [] if plain("".join(run)) else [i for i, text in enumerate(run) if not plain(text)]
+
+
 class Library:
     """Ids of many pre-tokens as the tokenizers library encodes them.
 
@@ -125,11 +130,20 @@ class Library:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def __call__(self, pieces_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch([p.decode() for p in pieces_], add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces_], add_special_tokens=False)]
         counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(counts.sum())), counts
 
 
+REMEMBERED = 1_000_000  # pre-tokens a worker remembers, about
+
+
+@functools.cache
+def _coder(path: str) -> Coder:
+    """A worker's pre-tokens, kept from task to task; what is remembered changes no result."""
+    return Coder(Library(path), REMEMBERED)
+
+
 FILES = "part int, seq int, n_ids long, doc_ids array<long>, content binary"
 
 
@@ -137,8 +151,7 @@ def _writer(path: str, end_id: int, chunk_ids: int, file_ids: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, library = TaskContext.get().partitionId(), Library(path)
-        coder = Coder(library)
+        part, coder = TaskContext.get().partitionId(), _coder(path)
         names, documents, held, seq = [], [], 0, 0
 
         def file() -> pa.RecordBatch:
@@ -152,12 +165,20 @@ def _writer(path: str, end_id: int, chunk_ids: int, file_ids: int):
             ids, at = batch.column("doc_id").to_pylist(), 0
             for run in runs(batch.column("text").to_pylist()):
                 coded, counts = coder.code(run)
-                for text, own in zip(run, np.split(coded, np.cumsum(counts)[:-1])):
-                    own = np.append(own if plain(text) else library.whole(text), end_id).astype("<u4")
+                # the end id goes behind each text's ids in one array, of which the documents are views
+                ends = np.cumsum(counts + 1)
+                room = np.full(int(ends[-1]), end_id, dtype="<u4")
+                mine = np.ones(len(room), dtype=bool)
+                mine[ends - 1] = False
+                room[mine] = coded
+                own = np.split(room, ends[:-1])
+                for i in odd(run):
+                    own[i] = np.append(coder.encode.whole(run[i]), end_id).astype("<u4")
+                for document in own:
                     names.append(ids[at])
-                    documents.append(own)
+                    documents.append(document)
                     at += 1
-                    held += len(own)
+                    held += len(document)
                     if held >= file_ids:
                         yield file()
                         names, documents, held, seq = [], [], 0, seq + 1
@@ -170,12 +191,16 @@ def _writer(path: str, end_id: int, chunk_ids: int, file_ids: int):
 def write_files(docs: DataFrame, path: str, end_id: int, chunk_ids: int = CHUNK_IDS, file_ids: int = FILE_IDS) -> DataFrame:
     """The table of files (part, seq, n_ids, doc_ids, content), written to the shared folder.
 
-    Rows are dealt out by ranges of doc_id (nulls first) and sorted by doc_id, then text; a file never spans two
-    ranges, and files in order of part and seq hold all documents in order. Null texts have the end id alone.
+    Rows are dealt out by ranges of doc_id (nulls first) and sorted by doc_id, then a digest of the text; a file never spans
+    two ranges, and files in order of part and seq hold all documents in order. Rows that share a doc_id, or have none, are
+    dealt on by the digest and the place they are read from, so repeated rows don't all meet in one range. Null texts have
+    the end id alone, repeated rows stand as often as they come, and an empty table gives no file.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(_writer(path, end_id, chunk_ids, file_ids), FILES))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumns(
+        {"digest": F.xxhash64("text"), "place": F.monotonically_increasing_id()}
+    )
+    ordered = rows.repartitionByRange("doc_id", "digest", "place").sortWithinPartitions("doc_id", "digest", "place")
+    return materialize(ordered.select("doc_id", "text").mapInArrow(_writer(path, end_id, chunk_ids, file_ids), FILES))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from edges import LONG, TEXTS, by, edge_documents, no_documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -128,7 +129,8 @@ def planes_expected(docs):
     library = tokenizers.Tokenizer.from_file(LIBRARY)
     library.encode_special_tokens = True
     out, start = [], 0
-    for i, text in sorted(((i, t or "") for i, t, *_ in docs), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+    digest = lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), seed=42)).astype(np.int64)
+    for i, text in sorted(((i, t or "") for i, t, *_ in docs), key=lambda r: (r[0] is not None, r[0] or 0, digest(r[1]))):
         ids = [*library.encode(text, add_special_tokens=False).ids, 2]
         out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -144,5 +146,30 @@ def test_edges_written_and_read(spark, chunk, file):
     assert rows == planes_expected(TEXTS)
 
 
+def test_rows_without_id_are_dealt_to_many_files(spark):
+    """Half of all rows have no doc_id, and many of those one text."""
+    rows = [(None, "" if i % 2 else f"text {i}") for i in range(400)] + [(i, f"text {i} {'x' * (i % 50)}") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which puts small ranges together
+    try:
+        files = bitplanes.write_files(frame, LIBRARY, 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = {r.part: sum(i is None for i in r.doc_ids) for r in files.collect()}
+    assert sum(n > 0 for n in parts.values()) >= 2 and max(parts.values()) < 400
+    got = sorted(map(tuple, bitplanes.read_files(files).collect()), key=lambda r: r[1])
+    assert got == planes_expected([(*r, None) for r in rows])
+
+
+def test_a_worker_forgets_without_changing_ids(monkeypatch):
+    texts = [f"word{i} and {i * 7919} more" for i in range(300)]
+    whole = bitplanes.Library(LIBRARY)
+    coder = pretokens.Coder(whole, 50)
+    for k in range(0, 300, 30):
+        ids, counts = coder.code(texts[k : k + 30])
+        assert ids.tolist() == [i for t in texts[k : k + 30] for i in whole.whole(t).tolist()]
+    assert bitplanes.odd(["plain", "ünï", "x\U0003fffd"]) == [2] and bitplanes.odd(["a", ""]) == []
+
+
 def test_no_documents_no_files(spark):
     assert bitplanes.read_files(bitplanes.write_files(no_documents(spark), LIBRARY, 2)).collect() == []
