@@ -26,6 +26,7 @@ from roadweave.sources.tables import materialize
 
 ORDER = 4
 SAMPLE_BYTES = 2_000_000  # of training text, over all languages; the model's size follows from it
+PIECES, LEAST_PIECE = 64, 64  # of a share; code points of the shortest piece
 PAD = b"\n" * ORDER
 CHUNK_BYTES = 1 << 20
 
@@ -148,25 +149,31 @@ def _held_out():
 def training_sample(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """lang, text (lower case, bytes) of labelled documents that aren't held out, an equal share of bytes a language.
 
-    Texts come in the order of a digest of their doc_id until the share is used up; a text of over an eighth of the
-    share is passed over.
+    Texts are cut into pieces of a 64th of the share, and pieces come in the order of a digest until the share is used up;
+    so short and long texts give as much as they have, and every label with a letter in its texts is learnt. A language
+    with less than its share gives all of it. The bound is on what is used to fit; predictions look at whole texts.
     """
     text = F.lower("text")
     known = F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~_held_out()
     rows = docs.where(known).select(
         F.col("lang").cast("string").alias("lang"), F.octet_length(text).cast("long").alias("size"),
-        F.md5(F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5("text"))).alias("key"), text.cast("binary").alias("text"),
+        F.md5(F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5("text"))).alias("key"), text.alias("text"),
     )
-    # one entry per language, looked up where the rows are, so that only the thinned selection is shuffled
+    # one entry per language, looked up where the rows are, so that only the thinned selection is cut and shuffled
     sizes = rows.groupBy("lang").agg(F.sum("size").alias("all")).agg(
         F.map_from_entries(F.collect_list(F.struct("lang", "all"))).alias("sizes")
     ).scalar()
     share = F.lit(sample_bytes) / F.greatest(F.size(sizes), F.lit(1))
-    part = share / F.element_at(sizes, F.col("lang"))
-    thin = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") < part * F.lit(4 * (1 << 32))
-    near = rows.where(thin & (F.col("size") * 8 <= share)).withColumn("share", share)
-    before = Window.partitionBy("lang").orderBy("key", "size")
-    return near.withColumn("used", F.sum("size").over(before)).where("used <= share").select("lang", "text")
+    chars = F.greatest(F.floor(share / PIECES), F.lit(LEAST_PIECE)).cast("int")
+    thin = share / F.element_at(sizes, F.col("lang")) * F.lit(float(4 << 32))
+    last = F.floor((F.length("text") - 1) / F.col("chars")).cast("int")
+    drawn = lambda i: F.pmod(F.xxhash64("key", i), F.lit(1 << 32)) < F.col("thin")
+    picked = rows.withColumns({"share": share, "chars": chars, "thin": thin}).select(
+        "lang", "share", "key", "chars", "text", F.explode(F.filter(F.sequence(F.lit(0), last), drawn)).alias("piece")
+    ).select("lang", "share", "key", "piece", F.substring("text", F.col("piece") * F.col("chars") + 1, F.col("chars")).alias("text"))
+    before = Window.partitionBy("lang").orderBy(F.xxhash64("key", "piece"), "key", "piece")
+    used = F.sum(F.octet_length("text").cast("long")).over(before)
+    return picked.withColumn("used", used).where("used <= share").select("lang", F.col("text").cast("binary").alias("text"))
 
 
 def _counted(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -96,6 +96,32 @@ def test_sample_is_bounded(spark):
     assert all(3000 < n <= 4000 for n in per.values())
 
 
+def test_long_texts_are_learnt_too(spark):
+    """200 short English texts, and twenty German ones that are each longer than an eighth of the share."""
+    rng = random.Random(3)
+    english, german = "the cat sat on a mat and went to sleep there".split(), "der hund und die katze sitzen auf einer matte".split()
+    texts = [(i, " ".join(rng.choices(english, k=40)), "en", "s") for i in range(200)]
+    texts += [(1000 + i, " ".join(rng.choices(german, k=30_000)), "de", "s") for i in range(20)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string").repartition(6)
+    sample = language.training_sample(frame, 200_000).collect()
+    per = {n: sum(len(r.text) for r in sample if r.lang == n) for n in ("de", "en")}
+    assert 90_000 < per["de"] <= 100_000  # its share, within a tenth
+    trained = [t for i, t, lang, _ in texts if lang == "en" and zlib.crc32(str(i).encode()) % 4 != 2]
+    assert per["en"] == sum(map(len, trained))  # all there is
+    got = by(language.predict(frame, language.train(frame, 200_000)), "doc_id")
+    assert [r["lang_pred"] for r in got] == [lang for _, _, lang, _ in texts]
+
+
+def test_pieces_of_a_text_are_its_own(spark):
+    """Cut at code points, whole ones together giving the text back; repeated rows count as often as they come."""
+    text = "".join(chr(0xE0 + i % 30) + "ab"[i % 2] for i in range(700))
+    frame = spark.createDataFrame([(1, text, "xx", "s"), (1, text, "xx", "s"), (3, "b", "yy", "s")], "doc_id long, text string, lang string, source string")
+    rows = [(r.lang, bytes(r.text).decode()) for r in language.training_sample(frame).collect()]
+    assert sorted(n for n, _ in rows) == ["xx", "xx", "yy"] and {t for n, t in rows if n == "xx"} == {text}
+    small = [bytes(r.text).decode() for r in language.training_sample(frame.limit(1), 10_000).collect()]
+    assert all(t in text and len(t) <= 156 for t in small) and sum(map(len, small)) == len(text)
+
+
 def test_edges(spark):
     docs = edge_documents(spark)
     rows = by(language.predict(docs, language.train(docs)), "doc_id", "score")
