@@ -349,6 +349,13 @@ def survey_match_unambiguous(t: Inputs) -> DataFrame:
     return countylines.match_survey_north(t["sec_file_north"], t["north_corr_rb"], t["north_descr"], expand=False)
 
 
+@query
+def survey_match_by_corridor(t: Inputs) -> DataFrame:
+    """The match on begin posts of a survey that names its corridors"""
+    survey = t["sec_file"].withColumnRenamed("svylength2012", "seg_length").withColumn("direction", F.lit("I"))
+    return countylines.match_survey_north(survey, t["north_corr_rb"], t["north_descr"], corridor="corridor")
+
+
 @query
 def survey_match_north(t: Inputs) -> DataFrame:
     """C20, J3, A9"""
@@ -456,7 +463,25 @@ def county_percents(t: Inputs) -> DataFrame:
 @query
 def county_preview(t: Inputs) -> DataFrame:
     """C26, P2, P5, P7, O4"""
-    return county.county_preview(county_percents(t))
+    return county.county_preview(county_percents(t), t["disability_by_group"])
+
+
+@query
+def county_profile_any_case(t: Inputs) -> DataFrame:
+    """Names that differ in case match under a collation"""
+    upper = {c: F.upper(c) for c in ("ctyname", "stname")}
+    return county.county_profile(
+        county_totals(t), t["county_demo"].withColumns(upper), t["housing"], t["income_assistance"], t["estimate_disabled"],
+        t["median_income"], t["labor_force"], t["labor_industry"], collation="UTF8_LCASE",
+    )
+
+
+@query
+def facility_rollup_lenient(t: Inputs) -> DataFrame:
+    """Text that is no number is taken as missing"""
+    name = county.FACILITY_COUNTS[0]
+    spoiled = F.when(F.col("provider_zip_code") == "7", F.lit("n/a")).otherwise(F.col(name))
+    return county.facility_rollup(t["nursing_homes"].withColumn(name, spoiled), corrected=True, lenient=True)
 
 
 # --- pavement -----------------------------------------------------------------------------------------------
@@ -468,6 +493,19 @@ def distress_agg(t: Inputs) -> DataFrame:
     return pavement.distress_by_corridor(t["distress"])
 
 
+@query
+def distress_agg_as_measured(t: Inputs) -> DataFrame:
+    """C16 with each rut average under its own name"""
+    return pavement.distress_by_corridor(t["distress"], swapped_ruts=False)
+
+
+@query
+def distress_agg_without_length(t: Inputs) -> DataFrame:
+    """Corridors that end at mile 0 have no ratios"""
+    ends = F.when(F.col("corridor_r").endswith("0N"), 0.0).otherwise(F.col("to_"))
+    return pavement.distress_by_corridor(t["distress"].withColumn("to_", ends), on_zero="null")
+
+
 @query
 def traffic_agg(t: Inputs) -> DataFrame:
     """C16, A1, A2, A8, E12, E16, J13"""

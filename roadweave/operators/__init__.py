@@ -19,6 +19,7 @@ from roadweave.operators.ordering import (
     running_count_at_key,
     top_per_group,
     upper_fence_filter,
+    value_codes,
 )
 from roadweave.operators.quality import (
     assert_key,
@@ -66,4 +67,5 @@ __all__ = [
     "stack",
     "top_per_group",
     "upper_fence_filter",
+    "value_codes",
 ]

@@ -112,6 +112,36 @@ def numbered(df: DataFrame, order: Sequence[Column], into: str = "place") -> Dat
     return split.select(*df.columns, F.explode(F.sequence(F.col("__place") + first, F.col("__place") + upto)).alias(into))
 
 
+LONGEST_CODES = 16 << 20  # bytes of distinct values that are broadcast
+
+
+class ValueCodes(NamedTuple):
+    """Distinct values by rank: ``codes`` has each value with its code, from 1, in the order of values."""
+
+    codes: DataFrame
+    ordered: Column
+
+    def value(self, code: Column) -> Column:
+        """The value of a code; null for null."""
+        return F.when(code.isNotNull(), F.element_at(self.ordered, code))
+
+
+def value_codes(df: DataFrame, col: str, most: int) -> ValueCodes | None:
+    """Order-keeping codes of a column's distinct values, for minima and maxima by hash aggregates of numbers.
+
+    None where there are more than ``most`` distinct values or more than ``LONGEST_CODES`` bytes of them, so that what is
+    broadcast has a bound. Runs at once: the distinct values are written, and two numbers come to the driver. Null has no
+    code; a table without values has no codes.
+    """
+    values = _written(df.select(F.col(col).alias(col)).where(F.col(col).isNotNull()).distinct())
+    n, size = values.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(col).cast("string")).cast("bigint")), F.lit(0))).first()
+    if n > most or size > LONGEST_CODES:
+        return None
+    listed = values.agg(F.array_sort(F.collect_set(col)).alias("ordered"))
+    codes = listed.select(F.posexplode("ordered").alias("code", col)).select(col, (F.col("code") + 1).alias("code"))
+    return ValueCodes(codes, listed.scalar())
+
+
 def running_count_at_key(
     df: DataFrame, within: str, key: str, into: str, totals: Sequence[str] = ()
 ) -> DataFrame:

@@ -297,6 +297,16 @@ def county_percents(
     )
 
 
-def county_preview(percents: DataFrame, n: int = 1000) -> DataFrame:
-    """The first ``n`` counties by code, in the layout of the final county table."""
-    return preview(conform(sanitize_columns(percents), PREVIEW_SCHEMA), n, ["Fips"])
+def disability_column(group: str) -> str:
+    return f"With_a_disability_{group}_Percent"
+
+
+def county_preview(percents: DataFrame, disability: DataFrame, n: int = 1000) -> DataFrame:
+    """The first ``n`` counties by code, in the layout of the final county table.
+
+    ``disability`` has a row a county: fips and, for each population group, the percentage with a disability, which the
+    final table shows beside what ``county_percents`` reckons. Counties without a row there keep nulls.
+    """
+    groups = disability.select(F.col("fips").alias("d_fips"), *map(disability_column, DISABLED_GROUPS))
+    joined = sanitize_columns(percents).join(groups, F.col("Fips") == F.col("d_fips"), "left")
+    return preview(conform(joined, PREVIEW_SCHEMA), n, ["Fips"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadweave.functions import blank_as_null
-from roadweave.operators import conflicting_keys
+from roadweave.operators import conflicting_keys, value_codes
 
 # Test method, and the field code of each measure. Code 89 is accepted but names no measure.
 METHOD = "000MCIG000"
@@ -50,6 +50,7 @@ REPORTED = [m for m in MEASURES.values() if m != "settable_solids_temp"]
 BY_LOWEST = "mg"
 NOT_COMPARED = ["assay", "s"]
 COMPARED = [m for m in REPORTED if m not in NOT_COMPARED]
+MOST_VALUES = 65_536  # distinct values that are compared by their rank
 
 
 def _accepted(results: DataFrame, tests: DataFrame) -> DataFrame:
@@ -59,8 +60,12 @@ def _accepted(results: DataFrame, tests: DataFrame) -> DataFrame:
     return chosen.join(registered, ["smpl_id", "smpl_tst_nbr"], "left_semi")
 
 
+def _value() -> Column:
+    return F.nullif(F.col("tst_strg_fld_val"), F.lit(""))
+
+
 def _of_code(code: str) -> Column:
-    return F.when(F.col("tst_fld_sn") == code, F.nullif(F.col("tst_strg_fld_val"), F.lit("")))
+    return F.when(F.col("tst_fld_sn") == code, _value())
 
 
 def lab_rows(samples: DataFrame, tests: DataFrame, results: DataFrame, materials: DataFrame) -> DataFrame:
@@ -83,25 +88,36 @@ def lab_pivot(
     materials: DataFrame,
     blanks_to_null: bool = True,
     numeric: bool = False,
+    most_values: int = MOST_VALUES,
 ) -> DataFrame:
     """One row per sample and test, one column per measure.
 
     Values are text: of several, the last in text order is reported, so ``'9'`` beats ``'10'`` (K15);
     ``numeric`` compares numbers instead. A test with only the unnamed code still gives a row, of nulls (K13).
     Results are aggregated to their wide rows in one shuffle, before anything else is joined.
-    """
 
-    def reported(code: str, name: str) -> Column:
-        value = _of_code(code)
-        if numeric:
-            value = F.nullif(F.trim(value), F.lit("")).cast("double")
-        value = F.min(value) if name == BY_LOWEST else F.max(value)
-        return (blank_as_null(value) if blanks_to_null and not numeric else value).alias(name)
+    Text buffers can't be hashed, so texts are compared by their rank among the distinct values, as numbers, and read back
+    at the end. The distinct values are written and counted first; where there are more than ``most_values`` (or they
+    are longer than a broadcast should be) the texts are aggregated as they are, by sorting.
+    """
 
     chosen = results.where((F.col("tst_meth") == METHOD) & F.col("tst_fld_sn").isin(*CODES))
-    wide = chosen.groupBy("smpl_id", "smpl_tst_nbr").agg(
-        *(reported(code, name) for code, name in MEASURES.items() if name in REPORTED)
-    )
+    names = {code: name for code, name in MEASURES.items() if name in REPORTED}
+    bound = lambda name, value: (F.min if name == BY_LOWEST else F.max)(value).alias(name)
+    dictionary = None if numeric else value_codes(chosen.select(_value().alias("value")), "value", most_values)
+    if numeric:
+        number = F.nullif(F.trim(_value()), F.lit("")).cast("double")
+        aggregates = [bound(name, F.when(F.col("tst_fld_sn") == code, number)) for code, name in names.items()]
+    elif dictionary is None:
+        aggregates = [bound(name, _of_code(code)) for code, name in names.items()]
+    else:
+        chosen = chosen.join(F.broadcast(dictionary.codes), _value() == F.col("value"), "left")
+        aggregates = [bound(name, F.when(F.col("tst_fld_sn") == code, F.col("code"))) for code, name in names.items()]
+    wide = chosen.groupBy("smpl_id", "smpl_tst_nbr").agg(*aggregates)
+    if dictionary is not None:
+        wide = wide.withColumns({name: dictionary.value(F.col(name)) for name in names.values()})
+    if blanks_to_null and not numeric:
+        wide = wide.withColumns({name: blank_as_null(F.col(name)) for name in names.values()})
     registered = tests.where(F.col("tst_meth") == METHOD).select("smpl_id", "smpl_tst_nbr")
     # A sample listed with several dates is one group; several materials or areas are several.
     known = samples.join(materials, "matl_cd", "left_semi").select("smpl_id", "matl_cd", "geog_area_t").distinct()

@@ -2,7 +2,7 @@
 
 The statements run unchanged in Spark SQL and in other engines, so a check elsewhere starts from the same
 rows. Names in braces are the tables a statement reads. Fact tables are whole. A few lookups lack keys, so that
-outer joins and anti-joins have something to miss: two county figures lack the counties named in their statements,
+outer joins and anti-joins have something to miss: three county figures lack the counties named in their statements,
 and ``surveyed_corridors`` lacks the corridors whose number ends in 7.
 """
 
@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from roadweave.plans.county import (
     AGE_BANDS,
     DISABLED_AGES,
+    DISABLED_GROUPS,
     FACILITY_COUNTS,
     FACILITY_RATES,
     INDUSTRY,
     POPULATION_GROUPS,
+    disability_column,
     disabled_column,
 )
 from roadweave.sources.schemas import layout
@@ -208,6 +210,11 @@ select {_FIPS} as fips, {_list(
       for i, (sex, age) in enumerate((s, a) for s in ("Male", "Female") for a in DISABLED_AGES)
   )}
 from {{customer}} group by c_nationkey, c_custkey%5""",
+    "disability_by_group": f"""
+select {_FIPS} as fips, {_list(
+      (f"cast((count(*)*{3 + i}+c_nationkey)%200 as double)/10e0", disability_column(group)) for i, group in enumerate(DISABLED_GROUPS)
+  )}
+from {{customer}} group by c_nationkey, c_custkey%5 having {_FIPS} not in (101, 1403)""",
     "median_income": f"""
 select {_FIPS} as fips, cast(count(*)*1000 as double) as median_income_2_earners
 from {{customer}} group by c_nationkey, c_custkey%5 having {_FIPS} not in (3, 104, 1702)""",

@@ -347,6 +347,26 @@ def test_numbering_a_row_that_fills_the_table(spark, monkeypatch):
     assert groups[0] == (6667, 3334) and groups[9998] == (1, 1) and len(groups) == 3334
 
 
+@few
+@given(st.lists(st.tuples(small, st.one_of(st.none(), st.text(max_size=4))), max_size=30))
+def test_value_codes_keep_the_order(frame, data):
+    df = frame("k int, v string", data)
+    coded = ops.value_codes(df, "v", 100)
+    found = coded.codes.orderBy("code").collect()
+    assert [r.v for r in found] == sorted({v for _, v in data if v is not None}, key=lambda v: v.encode())
+    assert [r.code for r in found] == list(range(1, len(found) + 1))
+    joined = df.withColumnRenamed("v", "w").join(coded.codes, F.col("w") == F.col("v"), "left")
+    by_code = joined.groupBy("k").agg(F.min("code").alias("lo"), F.max("code").alias("hi")).select("k", coded.value(F.col("lo")), coded.value(F.col("hi")))
+    assert rows(by_code) == rows(df.groupBy("k").agg(F.min("v"), F.max("v")))
+
+
+def test_too_many_or_too_long_values_have_no_codes(frame, monkeypatch):
+    df = frame("v string", [("a",), ("b",), ("b",), (None,)])
+    assert ops.value_codes(df, "v", 1) is None and ops.value_codes(df, "v", 2) is not None
+    monkeypatch.setattr(ordering, "LONGEST_CODES", 1)
+    assert ops.value_codes(df, "v", 2) is None
+
+
 # --- matches by classes --------------------------------------------------------------------------------------------
 
 

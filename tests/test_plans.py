@@ -294,6 +294,10 @@ def _lab(frame, results):
 def test_lab_pivot(frame):
     tables = _lab(frame, [(1, "44", "9"), (1, "44", "10"), (1, "98", "5"), (1, "98", "3"), (2, "89", "x"), (3, "44", " "), (4, "999", "1")])
     show = lambda **kw: rows(lab.lab_pivot(*tables, **kw).select("smpl_id", "ph", "mg"))
+    assert show() == show(most_values=0) and show(blanks_to_null=False) == show(blanks_to_null=False, most_values=0)
+    text = lab.lab_pivot(*tables)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text
+    assert "SortAggregate" in lab.lab_pivot(*tables, most_values=0)._jdf.queryExecution().executedPlan().toString()
     assert show() == [(1, "9", "3"), (2, None, None), (3, None, None)]
     assert show(numeric=True) == [(1, 10.0, 3.0), (2, None, None), (3, None, None)]
     assert show(blanks_to_null=False) == [(1, "9", "3"), (2, None, None), (3, " ", None)]
@@ -364,7 +368,11 @@ def test_county_profile_needs_an_income_figure(frame):
 
 def test_preview_layout(frame):
     percents = frame("Fips bigint, `Construction (Percent)` double, `Deaths_Per_100,000` double", [(2, 1.5, 2.5), (1, 0.5, 3.5)])
-    got = county.county_preview(percents, n=1)
+    groups = ", ".join(f"{county.disability_column(g)} double" for g in county.DISABLED_GROUPS)
+    disability = frame(f"fips bigint, {groups}", [(2, *[9.0] * 8), (1, *[k / 2 for k in range(8)]), (3, *[1.0] * 8)])
+    got = county.county_preview(percents, disability, n=1)
+    assert rows(got.select(*map(county.disability_column, county.DISABLED_GROUPS))) == [tuple(k / 2 for k in range(8))]
+    assert county.county_preview(percents, disability.where("fips = 3")).select("With_a_disability_Asian_Percent").distinct().count() == 1
     assert len(got.columns) == 129 and got.columns == county.PREVIEW_COLUMNS
     assert rows(got.select("Fips", "Construction_Percent", "Deaths_Per_100_000", "NCHS_Code")) == [(1, 0.5, 3.5, None)]
 
@@ -426,6 +434,8 @@ def test_inputs_that_can_show_a_fault(spark):
     """Facilities meet their counties, some samples conflict and some don't, some offsets are over ten miles."""
     t = Inputs(spark, "/root/testdata/sf0.01")
     preview = registered()["county_preview"](spark, "/root/testdata/sf0.01")
+    filled = preview.agg(*(F.count(f"`{c}`").alias(c) for c in preview.columns)).first()
+    assert all(filled), [c for c in preview.columns if not filled[c]]
     assert preview.where("County_Fips is not null and Number_of_All_Beds is not null").count() > 50
     samples = registered()["lab_rows"](spark, "/root/testdata/sf0.01").select("smpl_id").distinct().count()
     assert 0 < registered()["lab_conflicts"](spark, "/root/testdata/sf0.01").count() < samples

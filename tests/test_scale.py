@@ -18,9 +18,10 @@ from roadweave.plans import countylines, nodes  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES = registered()
-# One row per fraction, per table or per range is gathered here, never the rows of a table.
+# One row per fraction, per table or per range, or a checked number of distinct values, is gathered here, never the rows of a table.
 GATHERS = {"min_scalar_filter", "global_total", "quartile_rows", "length_outliers", "iqr_filter", "iqr_filter_distress",
-           "corridor_candidates_literal", "corridor_extremes_literal", "delivered_rows", "delivery_order"}
+           "corridor_candidates_literal", "corridor_extremes_literal", "delivered_rows", "delivery_order",
+           "lab_pivot", "lab_pivot_blank_to_null"}
 # Two rows of each sampled range are gathered here.
 RANGES = {"county_crossings", "county_crossings_numeric", "county_lines_inside_segments"}
 
