@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from edges import by
 from hypothesis import given, settings
@@ -100,6 +102,47 @@ def test_names_are_overruled_by_what_an_element_holds(body):
     assert html_text.main_text(page(NAV + body.format(paragraphs()) + FOOT)) == "\n".join(["Head", *ARTICLE])
 
 
+LINKS = "<ul>" + "".join(f"<li><a href='/{k}'>Further reading number {k}</a></li>" for k in range(5)) + "</ul>"
+LINKED = [f"Further reading number {k}" for k in range(5)]
+
+
+@pytest.mark.parametrize("around", ["<div class='story'>{}</div>", "<article>{}</article>", "<main><div>{}</div></main>"])
+def test_a_list_of_links_in_an_article_stays_and_ends_nothing(around):
+    body = NAV + around.format(paragraphs() + LINKS + "<p>Short end.</p>") + f"<div class='menu-box'>{LINKS}</div>" + FOOT
+    assert html_text.main_text(page(body)) == "\n".join([*ARTICLE, *LINKED, "Short end."])
+
+
+@pytest.mark.parametrize(
+    ("inside", "kept"),
+    [
+        ("<p class='notice-period'>{}</p>", True), ("<div class='social-history'><p>{}</p></div>", True),
+        ("<p title=don't>{}</p><p>x</p>", True), ("<blockquote><p>{}</p><footer>Who said it</footer></blockquote>", True),
+        ("<div class='cookie-notice'><p>{}</p></div>", False), ("<div class='share-buttons-2'><p>{}</p></div>", False),
+        ("<div class='article-comments'><p>{}</p></div>", False), ("<div class='newsletter_box'><p>{}</p></div>", False),
+    ],
+)
+def test_names_of_parts_of_an_article(inside, kept):
+    text = html_text.main_text(page(f"<article><h1>Head</h1>{paragraphs()}{inside.format('What it says here.')}</article>"))
+    assert ("What it says here." in text) == kept and text.startswith("\n".join(["Head", *ARTICLE]))
+    assert ("Who said it" in text) == ("blockquote" in inside) and ("\nx" in text) == ("don't" in inside)
+
+
+@pytest.mark.parametrize("broken", ["<b>{n}</i>", "<p a='{n}", "<button>{n}", "<p><div><b>{n}<p></p>", "<p title=don't>{n}", "<!--{n}", "<script{n}", "<div a=\"{n}'>"])
+def test_broken_markup_takes_time_in_proportion(broken):
+    """Twice the length, less than thrice the time; quadratic loops take four times as long."""
+    first, then = broken.split("{n}")
+
+    def seconds(n):
+        markup, best = first * n + then * n, float("inf")
+        for _ in range(3):
+            start = time.process_time()
+            html_text.main_text(markup)
+            best = min(best, time.process_time() - start)
+        return best
+
+    assert seconds(40_000) < 3 * seconds(20_000) + 0.05
+
+
 def test_a_short_article_is_not_joined_by_its_surroundings():
     body = f"<div class='cookie-notice'><p>{ARTICLE[0]}</p></div><article><p>Short.</p></article>"
     assert html_text.main_text(page(body)) == "Short."
