@@ -35,7 +35,8 @@ def _written(df: DataFrame) -> DataFrame:
 
 
 def next_value(
-    df: DataFrame, key: str, order: str, value: str, bucket: Column | None = None, into: str = "next_value"
+    df: DataFrame, key: str, order: str, value: str, bucket: Column | None = None, into: str = "next_value",
+    changes: bool = False,
 ) -> DataFrame:
     """The next row's ``value`` within ``key``, ordered by ``order`` and then ``value``, nulls last.
 
@@ -45,6 +46,8 @@ def next_value(
     hands it over. The ranges are written to the shared folder before they are read twice, as sampling anew may draw
     other splitters. Equal rows can't be dealt apart: make rows distinct first, as ``county_crossings`` does.
 
+    ``changes`` keeps the rows whose next value is another one, neither being null, and writes little more than those.
+
     ``bucket``, a non-decreasing function of ``order`` (a prefix of a text, a floor of a number), takes the place of the
     ranges where the caller knows that its groups within a key are small; then nothing is sampled or written.
     """
@@ -59,18 +62,20 @@ def next_value(
     # Wrapped in a struct, the absence of a next row differs from a next row whose value is null.
     following = F.struct(F.col(key).alias("key"), F.col(value).alias("value"))
     rows = parts.withColumn("__next", F.lead(following).over(within)).withColumn("__rn", F.row_number().over(within))
-    if bucket is None:
-        rows = _written(rows)
-    last = F.col("__next").isNull()
+    last, first = F.col("__next").isNull(), F.col("__rn") == 1
     of_key = lambda after: F.when(after["key"].eqNullSafe(F.col(key)), after["value"])
+    changed = F.col(value) != of_key(F.col("__next"))
+    if bucket is None:
+        rows = _written(rows.where(last | first | changed) if changes else rows)
     across = Window.partitionBy(*(group[:-1] or [F.lit(1)])).orderBy(F.col("__bucket").asc_nulls_last(), "__rn")
     handed = (
-        rows.where(last | (F.col("__rn") == 1))
+        rows.where(last | first)
         .withColumn("__handed", F.lead(following).over(across))
         .where(last)
         .select(*df.columns, of_key(F.col("__handed")).alias(into))
     )
-    return rows.where(~last).select(*df.columns, of_key(F.col("__next")).alias(into)).union(handed)
+    found = rows.where(~last).select(*df.columns, of_key(F.col("__next")).alias(into)).union(handed)
+    return found.where(F.col(value) != F.col(into)) if changes else found
 
 
 def place_of_groups(df: DataFrame, order: Sequence[Column], into: str = "place", count: str = "n") -> DataFrame:

@@ -215,6 +215,9 @@ def test_next_value_equals_one_window(frame, seed, width):
     )
     assert rows(ops.next_value(df, "r", "m", "c", F.floor(F.col("m") / width), "n")) == rows(plain)
     assert rows(ops.next_value(df, "r", "m", "c", into="n")) == rows(plain)
+    changed = rows(plain.where("c <> n"))
+    assert rows(ops.next_value(df, "r", "m", "c", into="n", changes=True)) == changed
+    assert rows(ops.next_value(df, "r", "m", "c", F.floor(F.col("m") / width), "n", changes=True)) == changed
 
 
 def test_top_per_group(frame):
