@@ -126,9 +126,11 @@ class ValueCodes(NamedTuple):
     codes: DataFrame
     ordered: Column
 
-    def value(self, code: Column) -> Column:
-        """The value of a code; null for null."""
-        return F.when(code.isNotNull(), F.element_at(self.ordered, code))
+    def values(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """``df`` with the values of the codes in ``columns``; null stays null."""
+        held = df.withColumn("__ordered", self.ordered)
+        value = lambda c: F.element_at("__ordered", F.col(c)).alias(c)
+        return held.select(*(value(c) if c in columns else F.col(c) for c in df.columns))
 
 
 def value_codes(df: DataFrame, col: str, most: int) -> ValueCodes | None:

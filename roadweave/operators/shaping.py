@@ -51,11 +51,13 @@ def reverse_ends(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def minus(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Distinct rows of ``df`` that are not in ``other``, nulls comparing equal.
+    """Distinct rows of ``df`` that are not in ``other``, nulls comparing equal (U2); columns are taken by position.
 
-    Both sides lose their repeats before they meet, so that repeats aren't shuffled.
+    One aggregation over both sides: a row stays if it never comes from ``other``. Repeats are combined before the one
+    shuffle, on either side.
     """
-    return df.distinct().subtract(other.distinct())
+    sides = df.withColumn("__other", F.lit(0)).union(other.withColumn("__other", F.lit(1)))
+    return sides.groupBy(*df.columns).agg(F.max("__other").alias("__other")).where(F.col("__other") == 0).select(*df.columns)
 
 
 def stack(df: DataFrame, *others: DataFrame) -> DataFrame:

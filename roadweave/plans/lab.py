@@ -115,7 +115,7 @@ def lab_pivot(
         aggregates = [bound(name, F.when(F.col("tst_fld_sn") == code, F.col("code"))) for code, name in names.items()]
     wide = chosen.groupBy("smpl_id", "smpl_tst_nbr").agg(*aggregates)
     if dictionary is not None:
-        wide = wide.withColumns({name: dictionary.value(F.col(name)) for name in names.values()})
+        wide = dictionary.values(wide, list(names.values()))
     if blanks_to_null and not numeric:
         wide = wide.withColumns({name: blank_as_null(F.col(name)) for name in names.values()})
     registered = tests.where(F.col("tst_meth") == METHOD).select("smpl_id", "smpl_tst_nbr")
