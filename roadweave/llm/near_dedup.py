@@ -7,9 +7,11 @@ A larger one goes deeper: there, the candidates are the ``NEAR`` next in sorted
 prefixes, and the member closest to all. A sketch of all hashes, two bits each, drops pairs that can't be similar.
 
 Candidates are confirmed on whole sets, first each representative's best ones. Candidates of a small region that a
-component so found doesn't hold together are confirmed too. What a large region has besides its largest component is
-compared with the whole region, set by set, in blocks; so going deeper loses no link, and a block gives no more links
-than join its components.
+component so found doesn't hold together are confirmed too. The members of the large regions that stay in several
+components go deeper by their rarest shingles: sets similar enough share one of the first of each, rarest first, so
+whoever shares none is done with, however many the region holds. A shingle of few sets gives pairs; sets that share a
+frequent one are compared within their regions, set by set, in blocks, and a block gives no more links than join its
+components. So going deeper loses no link.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ FULL, NEAR = 32, 4
 MATCHES = 84  # of 128 two-bit hashes: six standard deviations below the mean of a similarity of 0.8
 BUFFER = 50_000
 BLOCK = 400_000  # shingles in a block of a large region, about
+FEW = 64  # sets that share a rare shingle and are paired by it
+SLOTS = 1 << 20  # counters of shingles, by the upper bits of their hashes; they go to every worker, 4 MB
+SALTS = 16
 WORD_CACHE = 300_000
 NO_ID = (1 << 62) + (1 << 61)  # representatives without doc_id get numbers from here
 REGION = 1 + 4 * BASE
@@ -267,8 +272,64 @@ def _scanner(full: int, near: int, buffer: int):
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = _Words()
     for batch in batches:
-        items = [shingles(text.as_py(), cache).tobytes() for text in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(items, pa.binary())], names=["rep", "items"])
+        sets = [shingles(text.as_py(), cache) for text in batch.column("text")]
+        items, size = pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("label"), size, items], names=["rep", "label", "size", "items"])
+
+
+def _slot(items: np.ndarray) -> np.ndarray:
+    return (items >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets have a shingle of each slot."""
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    for batch in batches:
+        for items in batch.column("items"):
+            np.add.at(counts, _slot(np.frombuffer(items.as_py(), dtype=np.uint64)), 1)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+
+
+def _rarest(counts):
+    """Over sets: the shingles of which similar sets share one, in order of their slot's count, with their place.
+
+    Sets with 100 * common >= 80 * union have at least 80 % of either's shingles in common. A shingle alone in its slot
+    is in no other set and is left out, its place isn't.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, places, rows = [], [], []
+            for k, items in enumerate(batch.column("items")):
+                own = np.frombuffer(items.as_py(), dtype=np.uint64)
+                often = counts.value[_slot(own)]
+                order = np.lexsort((own, often))[: len(own) + (-len(own) * PERCENT // 100) + 1]
+                shared = np.flatnonzero(often[order] > 1)
+                tokens.append(own[order[shared]].view(np.int64))
+                places.append(shared)
+                rows.append(np.full(len(shared), k))
+            at = pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64), pa.int64())
+            flat = [pa.array(np.concatenate(x) if x else np.zeros(0, dtype=np.int64), pa.int64()) for x in (tokens, places)]
+            yield pa.RecordBatch.from_arrays(
+                [*flat, *(batch.column(c).take(at) for c in ("rep", "label", "size"))], names=["token", "place", "rep", "label", "size"]
+            )
+
+    return work
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            raw = np.frombuffer(b"".join(batch.column("sign").to_pylist()), dtype=">u4").reshape(batch.num_rows, HASHES)
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), _binary(_sketch(raw.astype(np.uint32)))], names=["rep", "sketch"])
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(-1, HASHES // 32) for c in ("sketch_a", "sketch_b"))
+            yield batch.select(["a", "b"]).filter(pa.array(matches(a, b) >= MATCHES))
 
 
 def _joining(rows: pd.DataFrame) -> pd.DataFrame:
@@ -308,18 +369,43 @@ def _labelled(frame: DataFrame, labels: DataFrame, column: str, to: str) -> Data
     return frame.join(named, column, "left").withColumn(to, F.coalesce("_label", column)).drop("_label")
 
 
-def _outside_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) of large regions from outside the region's largest component, enough to join what is linked."""
-    rows = materialize(_labelled(members, labels, "rep", "label"))
+def _parted(members: DataFrame) -> DataFrame:
+    """The members (region, rep, label) of regions that hold several labels; a hot region is spread by a salt."""
+    mixed = members.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    each = mixed.select(F.col("region").alias("_region"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    here = (F.col("region") == F.col("_region")) & (F.pmod(F.xxhash64("rep"), F.lit(SALTS)) == F.col("_salt"))
+    return members.join(each, here, "left_semi")
+
+
+def _shared_rare(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of different labels that share a rare shingle of few sets; rep of the sets that share one of many."""
+    spark = sets.sparkSession
+    found = sets.select("items").mapInArrow(_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(SLOTS, dtype=np.uint32)
+    counts[found["slot"].to_numpy(dtype=np.int64)] = np.minimum(found["n"].to_numpy(dtype=np.int64), np.iinfo(np.uint32).max)
+    work = _rarest(spark.sparkContext.broadcast(counts))
+    rare = materialize(sets.mapInArrow(work, "token long, place long, rep long, label long, size long"))
+    having = rare.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    mine = materialize(rare.join(having.select("token", "n"), "token"))
+    few = mine.where(F.col("n") <= FEW)
+    x, y = (few.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "label", "size", "place"))) for side in "ab")
+    # from the first shingle in common on, both must have enough left
+    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    enough = (100 + PERCENT) * left >= PERCENT * (F.col("size_a") + F.col("size_b"))
+    pairs = x.join(y, "token").where((F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b")) & enough)
+    many = mine.where(F.col("n") > FEW).select("rep").distinct()
+    return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), many
+
+
+def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of regions from outside the region's largest component, enough to join what is linked."""
     counts = rows.groupBy("region", "label").agg(F.sum("n_shingles").alias("n"))
     totals = counts.groupBy("region").agg(
         F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("inside"), F.count("*").alias("labels")
     )
     # regions of one component are done with
     known = rows.join(totals.where("labels > 1"), "region").withColumn("outside_n", F.col("all") - F.col("inside"))
-    known = materialize(known)
-    sets = materialize(texts.join(known.select("rep").distinct(), "rep", "left_semi").mapInArrow(_items, "rep long, items binary"))
-    known = known.join(sets, "rep")
+    known = materialize(known.join(sets.select("rep", "items"), "rep"))
     blocks = lambda total: F.greatest(F.ceil(F.col(total) / BLOCK), F.lit(1)).cast("long")
     every = lambda total: F.sequence(F.lit(0).cast("long"), blocks(total) - 1)
     mine = lambda total: F.pmod(F.xxhash64("rep"), blocks(total))
@@ -330,6 +416,19 @@ def _outside_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> D
     return both.groupBy("region", "i", "j").applyInPandas(_joining, "a long, b long").distinct()
 
 
+def _outside_links(members: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components that share a large region, enough to join what is linked."""
+    rows = materialize(_parted(materialize(_labelled(members, labels, "rep", "label"))))
+    open_ = rows.select("rep", "label").distinct()
+    sets = materialize(texts.join(open_, "rep").mapInArrow(_items, "rep long, label long, size long, items binary"))
+    pairs, many = _shared_rare(sets)
+    sketches = materialize(reps.select("rep", "sign").join(open_, "rep", "left_semi").mapInArrow(_sketched, "rep long, sketch binary"))
+    for side in "ab":
+        pairs = pairs.join(sketches.select(F.col("rep").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
+    likely = materialize(pairs.mapInArrow(_likely, "a long, b long"))
+    return confirm(likely, texts).unionByName(_in_blocks(rows.join(many, "rep", "left_semi"), sets))
+
+
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache, last = _Words(), (None, None)
     for batch in batches:
@@ -390,7 +489,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = materialize(components(links))
     apart = _labelled(_labelled(pairs.where(F.col("least") == SMALL_REGION), labels, "a", "la"), labels, "b", "lb")
     rest = apart.where("la <> lb").join(_best(pairs), ["a", "b"], "left_anti").select("a", "b")
-    more = materialize(confirm(rest, texts).unionByName(_outside_links(members, labels, texts)))
+    more = materialize(confirm(rest, texts).unionByName(_outside_links(members, labels, reps, texts)))
     # links between components join them; most often there are none
     across = _labelled(_labelled(more, labels, "a", "la"), labels, "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     joined = components(across)

@@ -105,8 +105,10 @@ def test_a_third_of_all_rows_in_one_group(spark, monkeypatch):
     assert max(Counter(r.component_id for r in rows).values()) > 300
 
 
-def test_outsiders_of_a_large_region_lose_no_link(spark, monkeypatch):
-    """With neighbours and the middle member of no use, the comparison in blocks still finds all links."""
+@pytest.mark.parametrize("few", [1, 5, 64])
+def test_outsiders_of_a_large_region_lose_no_link(spark, monkeypatch, few):
+    """With neighbours and the middle member of no use, rare shingles and blocks still find all links."""
+    monkeypatch.setattr(near, "FEW", few)
     monkeypatch.setattr(near, "FULL", 2)
     monkeypatch.setattr(near, "NEAR", 1)
     monkeypatch.setattr(near, "BLOCK", 700)
@@ -121,6 +123,36 @@ def test_outsiders_of_a_large_region_lose_no_link(spark, monkeypatch):
     check(spark, docs)
 
 
+def test_one_template_without_links_writes_no_pairs(spark):
+    """Texts half alike stay apart without being compared; copies among them are found."""
+    rng = random.Random(2)
+    template = text_of(rng, 60)
+    docs = [(k, " ".join(template + [f"u{k}x{i}" for i in range(28)])) for k in range(1500)]
+    docs += [(5000 + k, docs[k][1].rsplit(" ", 3)[0] + f" z{k}") for k in range(0, 1500, 100)]
+    rng.shuffle(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in near.near_duplicates(frame).collect()}
+    assert found == {k: k - 5000 if k >= 5000 else k for k, _ in docs}
+
+    rows = near.signed(frame)
+    sets = rows.join(frame.select("doc_id", F.col("text").cast("binary").alias("text")), "doc_id").select(
+        F.col("doc_id").alias("rep"), F.col("doc_id").alias("label"), "text"
+    )
+    pairs, many = near._shared_rare(sets.mapInArrow(near._items, "rep long, label long, size long, items binary"))
+    assert many.collect() == [] and pairs.count() == 15
+
+
+def test_shared_rare_shingles_reach_every_similar_pair(spark):
+    rng = random.Random(13)
+    base = text_of(rng, 70)
+    docs = [(k, " ".join(edited(rng, base, rng.choice([1, 2, 3, 5]))[: rng.choice([60, 70])])) for k in range(60)]
+    sets = {k: shingle_set(t) for k, t in docs}
+    near_ones = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    frame = spark.createDataFrame([(k, k, t.encode()) for k, t in docs], "rep long, label long, text binary")
+    pairs, many = near._shared_rare(frame.mapInArrow(near._items, "rep long, label long, size long, items binary"))
+    assert near_ones and near_ones <= {(r.a, r.b) for r in pairs.collect()} and many.count() == 0
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(a, a + 1) for a in range(0, 200)] + [(1000, 1000 + k) for k in range(1, 300)]
