@@ -79,9 +79,10 @@ def mixed(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, most: int
     to words, is reached; the last document is cut there. With ``whole`` it is taken in full if at least half of it
     was due and not at all otherwise. ``copies`` counts passes begun, ``position`` is the first one's time (null if
     not taken). Null text has no words; documents without words take none but keep a position; null is a source of
-    its own; rows with one doc_id follow each other by size.
+    its own; rows with one doc_id follow each other by size, and with ``whole`` by ``digest``, which is then returned too.
     """
-    rows = materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size")))
+    own = [F.unhex(F.md5(text_of())).alias("digest")] if whole else []
+    rows = materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size"), *own))
     goal = targets(rows, schedules, most)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     buckets = min(pieces(rows.count(), BUCKET_ROWS), 1 << 24)
@@ -96,7 +97,7 @@ def mixed(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, most: int
         F.coalesce(F.sum("in_bucket").over(ahead), F.lit(0)).alias("start"),
     ).join(goal.withColumnRenamed("source", "g_source"), F.col("b_source").eqNullSafe(F.col("g_source")))
     here = F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket"))
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", *(["digest"] if whole else [])).rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.join(starts, here).withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     words = F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(words / F.greatest("source_size", F.lit(1)))).otherwise(0).cast("long")
@@ -113,23 +114,32 @@ def mixed(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, most: int
     copies = F.when(empty, F.lit(1)).otherwise(passes + (last > 0).cast("long")).cast("int")
     return placed.select(
         "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"),
-        F.when(copies > 0, time).alias("position"), "before", "kind",
+        F.when(copies > 0, time).alias("position"), "before", "kind", *(["digest"] if whole else []),
     )
 
 
 def training_order(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, most: int = MOST) -> DataFrame:
     """``docs`` as the mix takes them, columns as given: each pass over a document is a row, sorted by position.
 
-    Whole documents only. Of rows with one doc_id and source, each follows the smallest number of passes any gets.
+    Whole documents only. Null texts count as empty; documents without words are taken once. Rows that agree in doc_id
+    (null included), source and text each follow the smallest number of passes any of them gets; rows that differ in
+    one of these are documents of their own. An empty table gives none.
     """
-    plan = mixed(docs, schedules, most, whole=True).where("copies > 0")
-    begun = plan.withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    plan = mixed(docs, schedules, most, whole=True).groupBy("doc_id", "source", "digest").agg(
+        F.min("copies").alias("copies"), F.min("before").alias("before"),
+        *(F.first(c).alias(c) for c in ("source_size", "target", "kind")),  # alike in all rows of a source
+    )
+    begun = plan.where("copies > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     share = F.least(F.lit(1.0), (F.col("before") + F.col("pass") * F.col("source_size")) / F.greatest("target", F.lit(1e-300)))
     time = None
     for kind, schedule in enumerate(schedules):
         at = inverse(schedule, share)
         time = F.when(F.col("kind") == kind, at) if time is None else time.when(F.col("kind") == kind, at)
-    ids = begun.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("pass").alias("_mix_pass"), time.alias("_mix_position"))
-    once = ids.groupBy("_mix_id", "_mix_source", "_mix_pass").agg(F.min("_mix_position").alias("_mix_position"))
-    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_source"))
-    return docs.join(once, same).orderBy("_mix_position", "doc_id").select(*(F.col(f"`{c}`") for c in docs.columns))
+    named = [F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("digest").alias("_mix_digest")]
+    due = begun.select(*named, time.alias("_mix_position"))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_source"))
+        & (F.col("_mix_text") == F.col("_mix_digest"))
+    )
+    marked = docs.withColumn("_mix_text", F.unhex(F.md5(text_of())))
+    return marked.join(due, same).orderBy("_mix_position", "doc_id", "_mix_text").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -113,6 +113,21 @@ def test_stage_repeats_documents_in_order(spark):
     assert curriculum.training_order(edge).schema == edge.schema
 
 
+def test_rows_without_id_follow_their_own_passes(spark):
+    """Rows that share doc_id and source are told apart by their texts."""
+    docs = [(None, f"n{k} " + "w " * 19, None, "a") for k in range(20)] + [(7, f"m{k} " + "w " * 9, None, None) for k in range(30)]
+    docs += [(k, "w " * 5, None, "b") for k in range(200, 400)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    plan = curriculum.mixed(frame, whole=True).collect()
+    out = curriculum.training_order(frame).collect()
+    for source in ("a", "b", None):
+        taken = sum(r.taken for r in plan if r.source == source)
+        assert sum(len(words(r.text)) for r in out if r.source == source) == taken
+        assert abs(taken - next(r.target for r in plan if r.source == source)) <= 20
+    same = spark.createDataFrame([(None, "one text", None, "a")] * 3 + [(1, "w " * 40, None, "b")], "doc_id long, text string, lang string, source string")
+    assert len([r for r in curriculum.training_order(same).collect() if r.source == "a"]) % 3 == 0
+
+
 def test_no_python_in_the_plan(spark):
     plan = curriculum.mixed(edge_documents(spark))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
