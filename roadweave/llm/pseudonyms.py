@@ -16,27 +16,37 @@ from pyspark.sql import functions as F
 
 from roadweave.llm.common import text_of
 
-KEY = "roadweave"
+KEY_SETTING = "spark.roadweave.pseudonym.key"
+LEAST_KEY = 16
 ROUNDS = 10
 
-# The patterns of candidates, tried in this order.
-EMAIL = r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![\w-])"
-IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"
-DATE = r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=T\d{2}:?\d{2})|(?![\w/-]|\.\d))"
-SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
+# Word signs in any script, and the patterns of candidates, tried in this order.
+W = r"\p{L}\p{M}\p{N}_"
+EMAIL = (
+    rf"(?<![{W}.+%-])[\p{{L}}0-9][\p{{L}}\p{{M}}0-9._%+-]{{0,63}}@[\p{{L}}\p{{M}}0-9-]{{1,63}}(?:\.[\p{{L}}\p{{M}}0-9-]{{1,63}})*"
+    rf"\.[A-Za-z]{{2,24}}(?![{W}-])"
+)
+IPV4 = rf"(?<![{W}.])(?:\d{{1,3}}\.){{3}}\d{{1,3}}(?![{W}]|\.\d)"
+IBAN = rf"(?<![{W}])[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?)(?![{W}])"
+DATE = (
+    rf"(?<![{W}/.-])(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d{{1,2}}\.\d{{1,2}}\.\d{{4}})"
+    rf"(?:(?=T\d{{2}}:?\d{{2}})|(?![{W}/-]|\.\d))"
+)
+SSN = rf"(?<![{W}-])\d{{3}}-\d{{2}}-\d{{4}}(?![{W}-])"
 CARD = (
-    r"(?<![\w-])(?:\d{13,19}|\d{4}(?:-\d{4}){3}(?:-\d{1,3})?|\d{4}(?: \d{4}){3}(?: \d{1,3})?"
-    r"|\d{4}-\d{6}-\d{5}|\d{4} \d{6} \d{5})(?![\w-])"
+    rf"(?<![{W}-])(?:\d{{13,19}}|\d{{4}}(?:-\d{{4}}){{3}}(?:-\d{{1,3}})?|\d{{4}}(?: \d{{4}}){{3}}(?: \d{{1,3}})?"
+    rf"|\d{{4}}-\d{{6}}-\d{{5}}|\d{{4}} \d{{6}} \d{{5}})(?![{W}-])"
 )
 # Numbers in pairs: after a country code, a trunk 0, or as in Spain.
 PAIRS = (
-    r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?(?:\d(?:[ .-]\d{2}){4}|\d{2}(?:[ .-]\d{2}){3,4}|\d{2}[ .-]\d{3}(?:[ .-]\d{2}){2}|\d{3,4}(?:[ .-]\d{2}){3})"
-    r"|0\d(?:[ .-]\d{2}){4}|0\d{2,4}(?:[ .-]\d{2}){3,4}|[6-9]\d{2}(?:[ .-]\d{2}){3}|[89]\d[ .-]\d{3}(?:[ .-]\d{2}){2})(?![\w-])"
+    rf"(?<![{W}.+-])(?:\+\d{{1,3}}[ .-]?(?:\(0\)[ .-]?)?(?:\d(?:[ .-]\d{{2}}){{4}}|\d{{2}}(?:[ .-]\d{{2}}){{3,4}}|\d{{2}}[ .-]\d{{3}}(?:[ .-]\d{{2}}){{2}}|\d{{3,4}}(?:[ .-]\d{{2}}){{3}})"
+    rf"|0\d(?:[ .-]\d{{2}}){{4}}|0\d{{2,4}}(?:[ .-]\d{{2}}){{3,4}}|[6-9]\d{{2}}(?:[ .-]\d{{2}}){{3}}|[89]\d[ .-]\d{{3}}(?:[ .-]\d{{2}}){{2}})(?![{W}-])"
 )
+# An area code, its trunk 0 after the country code or before a slash, then the number in one piece.
+TRUNK = rf"(?<![{W}/.+-])(?:\+\d{{1,3}}[ .-]?\(0\)[ .-]?\d{{2,5}}[ ./-]?\d{{4,8}}|0\d{{1,4}} ?/ ?\d{{4,9}})(?![{W}/-])"
 PHONE = (
-    r"(?<![\w.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<!\w)\+\d{9,15}(?!\w)"
-    rf"|{PAIRS}"
+    rf"(?<![{W}.-])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ .-]?|\d{{2,4}}[ .-])\d{{3,4}}[ .-]?\d{{3,4}}(?![{W}-])|(?<![{W}])\+\d{{9,15}}(?![{W}])"
+    rf"|{PAIRS}|{TRUNK}"
 )
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, IBAN, DATE, SSN, CARD, PHONE))
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
@@ -75,7 +85,7 @@ def feistel(left: Column, right: Column, a: Column, b: Column, key: str, kind: s
 def _shifted(sign: Column, add: Column) -> Column:
     """A sign moved within its class; others stay."""
     out = sign
-    for first, size in (("0", 10), ("A", 26), ("a", 26)):
+    for first, size in (("0", 10), ("A", 26), ("a", 26), ("à", 23), ("ø", 8)):
         code = F.ascii(sign) - F.lit(ord(first))
         moved = F.char(F.lit(ord(first)) + (code + add % size) % size)
         out = F.when(sign.between(first, chr(ord(first) + size - 1)), moved).otherwise(out)
@@ -286,12 +296,29 @@ def _iban(value: Column, key: str) -> Column:
 
 
 def _email(value: Column, key: str) -> Column:
-    """The local part and the first label of the domain are permuted, the rest of the domain stays."""
+    """The local part and the first label of the domain are permuted in lower case, the rest of the domain stays.
+
+    Capitals stay where they are, so addresses that differ by case alone stay linked.
+    """
     own = F.regexp_extract(value, r"^[^@]+@[^.]+", 0)
-    return _let(own, lambda o: F.concat(feistel_text(o, key, "email"), F.substring(value, F.length(o) + 1, F.length(value))))
+    signs = lambda text: F.filter(F.split(text, ""), lambda c: c != "")
+    raised = lambda now, was: F.when(was != F.lower(was), F.upper(now)).otherwise(now)
+
+    def of(o: Column) -> Column:
+        moved = F.array_join(F.zip_with(signs(feistel_text(F.lower(o), key, "email")), signs(o), raised), "")
+        return F.concat(moved, F.substring(value, F.length(o) + 1, F.length(value)))
+
+    return _let(own, of)
+
+
+def checked_key(key: str | None) -> str:
+    """``key``; raises ValueError if it is missing or short, as whoever guesses it can undo every pseudonym."""
+    if not key or len(key) < LEAST_KEY:
+        raise ValueError(f"pseudonyms take a secret key of at least {LEAST_KEY} signs, for instance from {KEY_SETTING}")
+    return key
 
 
-def pseudonym(value: Column, key: str = KEY) -> Column:
+def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a candidate, null if it isn't valid. A card that isn't one may still be a phone number."""
     kinds = [(EMAIL, _email), (IPV4, _ipv4), (IBAN, _iban), (DATE, _date), (SSN, _ssn), (CARD, _card)]
     out = None
@@ -301,12 +328,14 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return out.otherwise(_phone(value, key))
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, text, n_values, pseudonyms for every row of ``docs``.
 
     ``text`` is the text with each valid value replaced, null where it was null; ``pseudonyms`` lists them in order.
-    Candidates that aren't valid and everything else stay. Only doc_id and text are read; repeated rows are each done.
+    Candidates that aren't valid and everything else stay. Only doc_id and text are read; repeated rows are each done,
+    an empty table gives none. ``key`` is the caller's secret (``checked_key``).
     """
+    key = checked_key(key)
     text = F.col("text").cast("string")
     some = F.col("text").rlike("[0-9@]")
     rows = docs.select("doc_id", text.alias("text"))

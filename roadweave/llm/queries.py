@@ -16,7 +16,7 @@ from roadweave.llm.hard_negatives import hard_negatives
 from roadweave.llm.html_text import extract
 from roadweave.llm.language import predict, train
 from roadweave.llm.near_dedup import near_duplicates
-from roadweave.llm.pseudonyms import pseudonymised
+from roadweave.llm.pseudonyms import KEY_SETTING, pseudonymised
 from roadweave.llm.quality import judged
 from roadweave.llm.sharding import sharded
 from roadweave.llm.spelling import variants
@@ -26,6 +26,8 @@ from roadweave.llm.top_k import nearest
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 END_ID = 2
+# For trial runs on made-up tables, where the session sets no key. It is no secret.
+TRIAL_KEY = "roadweave trial key, not secret"
 
 
 def query(fn: Query) -> Query:
@@ -81,7 +83,7 @@ def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal numbers, dates and addresses replaced by format-preserving pseudonyms."""
-    return pseudonymised(documents(spark, sf_dir))
+    return pseudonymised(documents(spark, sf_dir), spark.conf.get(KEY_SETTING, TRIAL_KEY))
 
 
 @query
