@@ -38,6 +38,7 @@ BUFFER = 50_000
 BLOCK = 400_000  # shingles in a block of a large region, about
 FEW = 64  # sets that share a rare shingle and are paired by it
 SLOTS = 1 << 20  # counters of shingles, by the upper bits of their hashes; they go to every worker, 4 MB
+PARTS = 16  # ranges of slots, each a row of packed counts
 SALTS = 16
 WORD_CACHE = 300_000
 NO_ID = (1 << 62) + (1 << 61)  # representatives without doc_id get numbers from here
@@ -281,14 +282,33 @@ def _slot(items: np.ndarray) -> np.ndarray:
     return (items >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
 
+def _packed(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The counts that aren't 0, a row for each range of slots."""
+    for part, held in enumerate(counts.reshape(PARTS, -1)):
+        used = np.flatnonzero(held)
+        if len(used):
+            slots = (used + part * len(held)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int64()), pa.array([slots.tobytes()]), pa.array([held[used].tobytes()])], names=["part", "slots", "n"]
+            )
+
+
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many sets have a shingle of each slot."""
+    """How many sets have a shingle of each slot: at most ``PARTS`` rows a task, however many sets and shingles it has."""
     counts = np.zeros(SLOTS, dtype=np.int64)
     for batch in batches:
         for items in batch.column("items"):
             np.add.at(counts, _slot(np.frombuffer(items.as_py(), dtype=np.uint64)), 1)
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+    yield from _packed(counts)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of packed counts."""
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    for batch in batches:
+        for slots, n in zip(batch.column("slots"), batch.column("n")):
+            counts[np.frombuffer(slots.as_py(), dtype=np.int64)] += np.frombuffer(n.as_py(), dtype=np.int64)
+    yield from _packed(counts)
 
 
 def _rarest(counts):
@@ -380,9 +400,12 @@ def _parted(members: DataFrame) -> DataFrame:
 def _shared_rare(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of different labels that share a rare shingle of few sets; rep of the sets that share one of many."""
     spark = sets.sparkSession
-    found = sets.select("items").mapInArrow(_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    packed = "part long, slots binary, n binary"
+    found = sets.select("items").mapInArrow(_slots, packed).repartition("part").mapInArrow(_summed, packed).collect()
     counts = np.zeros(SLOTS, dtype=np.uint32)
-    counts[found["slot"].to_numpy(dtype=np.int64)] = np.minimum(found["n"].to_numpy(dtype=np.int64), np.iinfo(np.uint32).max)
+    for row in found:
+        n = np.frombuffer(row["n"], dtype=np.int64)
+        counts[np.frombuffer(row["slots"], dtype=np.int64)] = np.minimum(n, np.iinfo(np.uint32).max)
     work = _rarest(spark.sparkContext.broadcast(counts))
     rare = materialize(sets.mapInArrow(work, "token long, place long, rep long, label long, size long"))
     having = rare.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")

@@ -193,3 +193,17 @@ def test_forest_keys_hold_the_tree_and_its_hashes(spark):
     assert rows.count() == near.TREES * reps.count()
     assert rows.where(F.length("key") != 1 + 4 * near.DEPTH).count() == 0
     assert {len(r["sketch"]) for r in by(rows, "rep", "key")} == {near.HASHES // 4}
+
+
+def test_slots_are_counted_in_a_few_rows_a_task_however_large_the_group(spark):
+    rng = np.random.default_rng(2)
+    sets = [rng.integers(0, 1 << 63, size=300, dtype=np.uint64) * np.uint64(2) for _ in range(20)] * 8
+    frame = spark.createDataFrame([(x.tobytes(),) for x in sets], "items binary").repartition(8)
+    packed = frame.mapInArrow(near._slots, "part long, slots binary, n binary")
+    assert packed.count() <= 8 * near.PARTS
+    counts = Counter()
+    for row in packed.repartition("part").mapInArrow(near._summed, packed.schema).collect():
+        slots, n = (np.frombuffer(row[c], dtype=np.int64).tolist() for c in ("slots", "n"))
+        assert not counts.keys() & set(slots)
+        counts.update(dict(zip(slots, n)))
+    assert counts == Counter(s for x in sets for s in near._slot(x).tolist())
