@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roadweave.functions import concat_present, exact_sum, from_limbs, limbs
 from roadweave.operators import conform, minus, not_in_present, numbered, place_of_groups
 from roadweave.sources.schemas import SEC_SEGMENTS
+from roadweave.sources.tables import materialize
 
 # Code lists and constants of the collection rules.
 PAVED = ["PMS", "PCC", "BST", "RMS"]
@@ -145,7 +146,8 @@ def final_dataset(
     """Collection dataset of the given vans, without forest and excluded roads.
 
     Subtracting the rows of forest corridors from the rows of the same view is the same as dropping rows by
-    their corridor code, so whole rows are never compared: this is one anti-join against a list of codes.
+    their corridor code, so whole rows are never compared: this is one anti-join against a list of codes. The list is
+    written first: where it is small, Catalyst knows so, moves the anti-join below lookups and shuffles no segment for it.
     ``enriched`` must be distinct, as ``enrich_segments`` and ``snap_begin_nodes`` return it.
     """
     collected = enriched.where(
@@ -153,7 +155,7 @@ def final_dataset(
         & (F.col("corridor_code") != EXCLUDED_CORRIDOR)
         & ~F.col("road_van").contains(EXCLUDED_ROAD)
     )
-    return collected.join(forest_codes(forest, pad=pad), F.col("corridor_code") == F.col("forest_code"), "left_anti")
+    return collected.join(materialize(forest_codes(forest, pad=pad)), F.col("corridor_code") == F.col("forest_code"), "left_anti")
 
 
 def _delivery() -> list[Column]:
@@ -184,7 +186,7 @@ def final_dataset_with_missing(
     ``enriched`` is built from ``collected``. The two parts can't share a row, as their corridors differ.
     """
     of_van = lambda df: df.where(F.col("van_no") == van).select("corridor_code_rb")
-    absent = minus(of_van(segments), of_van(collected))
+    absent = materialize(minus(of_van(segments), of_van(collected)))
     added = segments.join(absent, "corridor_code_rb", "left_semi").select(*segments.columns).distinct()
     return final_dataset(enriched, forest, (van,)).unionByName(added, allowMissingColumns=True)
 
