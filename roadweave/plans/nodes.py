@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions import concat_present, km_to_mi, reference_point, reference_point_to_number
 from roadweave.operators import interval_join, interval_sides, keep_unambiguous, keep_unique, lookup_ends
+from roadweave.sources.tables import materialize
 
 # Fixed value: the node id that marks an unknown segment end.
 UNKNOWN_NODE = 999_999_999_999
@@ -149,19 +150,30 @@ def snap_begin_nodes(segments: DataFrame, points: DataFrame, nodes: DataFrame) -
 
     Several such nodes give several rows (K30). The looked-up columns still belong to the original begin
     node, and the reference points stay text. ``nodes`` must be unique on (gn_id, dc_id).
+
+    Segments become distinct first, and are written once their ends are looked up. Only those at a node's mile can become
+    equal to each other, so no other segment is shuffled for the snapping or compared again.
     """
+    points = points.select("corridor_code_rb", "gn_id", "tis_mi", "tis_x", "tis_y", "ref_point").distinct()
     looked_up = lookup_ends(
-        segments, points, "corridor_code_rb", "gn_id",
+        segments.distinct(), points, "corridor_code_rb", "gn_id",
         {
             "beg_gn": {"tis_mi": "tis_begmi", "tis_x": "tis_startx", "tis_y": "tis_starty", "ref_point": "tis_begrp"},
             "end_gn": {"tis_mi": "tis_endmi", "tis_x": "tis_endx", "tis_y": "tis_endy", "ref_point": "tis_endrp"},
         },
     )
-    here = nodes.select(F.col("gn_id").alias("snap_gn"), F.col("dc_id").alias("snap_dc"), F.col("gn_dcmi").alias("snap_mi"))
+    columns = [*segments.columns, *END_COLUMNS]
+    looked_up = materialize(looked_up.select(*columns))
+    mile = ["corridor_code_rb", "begin_mi"]
+    here = nodes.select(F.col("dc_id").alias("corridor_code_rb"), F.col("gn_dcmi").alias("begin_mi"), F.col("gn_id").alias("snap_gn"))
+    here = materialize(here.join(looked_up.select(*mile).distinct(), mile, "left_semi"))
+    others = here.select(F.col("snap_gn"), F.col("corridor_code_rb").alias("snap_dc"), F.col("begin_mi").alias("snap_mi"))
     on = (
         (F.col("corridor_code_rb") == F.col("snap_dc"))
         & (F.col("begin_mi") == F.col("snap_mi"))
         & (F.col("snap_gn") != F.col("beg_gn"))
     )
-    snapped = looked_up.join(here, on, "left").withColumn("beg_gn", F.coalesce("snap_gn", "beg_gn"))
-    return snapped.select(*segments.columns, *END_COLUMNS).distinct()
+    at_node = looked_up.join(here, mile, "left_semi").select(*columns)
+    snapped = at_node.join(others, on, "left").withColumn("beg_gn", F.coalesce("snap_gn", "beg_gn"))
+    elsewhere = looked_up.join(here, mile, "left_anti").select(*columns)
+    return elsewhere.union(snapped.select(*columns).distinct())

@@ -15,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from roadweave import operators as ops  # noqa: E402
 from roadweave.checks.queries import registered  # noqa: E402
 from roadweave.plans import countylines, nodes  # noqa: E402
+from roadweave.sources import derived  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES = registered()
@@ -76,6 +77,40 @@ def test_partial_aggregation_before_every_grouping_shuffle(spark):
         assert "partial_" in plan(QUERIES[name](spark, SMALL)), name
 
 
+def test_a_larger_table_is_made_distinct_in_more_tasks(spark, no_broadcast, monkeypatch):
+    whole = derived.Inputs(spark, SMALL)["sec_segments"].distinct()
+    monkeypatch.setattr(derived, "TASK_ROWS", 500)
+    dealt = derived.Inputs(spark, SMALL)["sec_segments"].distinct()
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L?, \d\d+\), REPARTITION_BY_NUM", plan(dealt))
+    assert plan(dealt).count("Exchange ") == 2  # both sides of the join; the distinct rows lie in the same tasks
+    assert max(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()) < 1000
+    key = ["beg_gn", "end_gn", "begin_mi", "end_mi", "to_descr"]
+    assert rows(dealt.select(*key)) == rows(whole.select(*key))
+
+
+def test_a_short_list_of_forests_shuffles_no_segment(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for key in keys:
+        spark.conf.set(key, "20k")
+    try:
+        text = plan(QUERIES["section_totals"](spark, "/root/testdata/sf0.1"))
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert re.search(r"BroadcastHashJoin .*LeftAnti", text)
+
+
+def test_corridors_of_a_dataset_need_no_distinct_rows(spark):
+    for name in ("maintained_hpms", "maintained_or_hpms"):
+        assert "to_descr" not in plan(QUERIES[name](spark, SMALL)), name
+
+
+def test_segments_are_looked_up_once_before_they_snap(spark):
+    text = plan(QUERIES["begin_node_snap"](spark, SMALL))
+    assert "l_orderkey" not in text and "p_partkey" not in text
+    assert text.count("Exchange hashpartitioning") == 1  # of segments at a node's mile
+
+
 # --- a third and more of all rows under one key ---------------------------------------------------------------
 
 
