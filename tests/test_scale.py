@@ -223,3 +223,9 @@ def test_unknown_ends_may_fill_a_corridor(spark):
                                          F.lit(0.0).alias("tis_xcoord"), F.lit(0.0).alias("tis_ycoord"))
     got = nodes.segment_nodes(segs, gn)
     assert got.count() == 15_002 and got.where("tis_mi is null").count() == 2
+
+
+def test_posts_are_rounded_once_and_not_in_each_comparison(spark, no_broadcast):
+    """A sort by an expression works it out whenever it compares two rows."""
+    sorts = [line for line in plan(QUERIES["survey_match_unambiguous"](spark, SMALL)).splitlines() if re.search(r"\bSort \[", line)]
+    assert sorts and not any("decimal" in line for line in sorts)
