@@ -386,6 +386,19 @@ def test_match_classes_count_what_a_join_writes(frame):
     assert rows(found.expanded(F.col("rows") < 10).select("k", "m", "a", "b", "c")) == [(1, 2, "y", 10, 8), (1, 2, "y", 11, 8)]
 
 
+def test_a_key_column_left_out_of_a_match(frame):
+    """One row for rows that differ in it alone, nulls among the others kept; nothing matches by it alone."""
+    left = frame("k int, m double, a string", [(1, 1.0, "x"), (1, 1.5, "x"), (1, 1.7, "x"), (1, 1.5, None), (1, 1.0, None), (2, 3.0, "y"), (3, 1.0, "z")])
+    right = frame("k int, b int", [(1, 10), (2, 11), (3, 12)])
+    third = frame("k int, m double, c string", [(1, 1.0, "s"), (1, 1.5, "s"), (1, 1.6, "t"), (1, 1.7, "u"), (2, 3.0, "s"), (3, 9.0, "s")])
+    found = ops.match_classes({"l": left, "r": right, "t": third}, ["k", "m"])
+    shown = ["k", "a", "b", "c"]
+    assert rows(found.expanded(without="m").select(*shown)) == [
+        (1, "x", 10, "s"), (1, "x", 10, "u"), (1, None, 10, "s"), (2, "y", 11, "s")]
+    assert rows(found.expanded(without="m").select(*shown)) == rows(found.expanded().select(*shown).distinct())
+    assert rows(found.expanded(F.col("k") == 2, without="m").select(*shown)) == [(2, "y", 11, "s")]
+
+
 def test_a_key_with_a_third_of_both_sides_costs_its_sum(spark):
     """Thirty billion matches of one key, none written."""
     one = lambda n, c: spark.range(n, numPartitions=4).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias(c))

@@ -229,3 +229,12 @@ def test_posts_are_rounded_once_and_not_in_each_comparison(spark, no_broadcast):
     """A sort by an expression works it out whenever it compares two rows."""
     sorts = [line for line in plan(QUERIES["survey_match_unambiguous"](spark, SMALL)).splitlines() if re.search(r"\bSort \[", line)]
     assert sorts and not any("decimal" in line for line in sorts)
+
+
+def test_the_rows_of_a_survey_match_are_not_compared(spark, no_broadcast):
+    """Only those of corridor records with several lengths in a mile, which are matched apart."""
+    for name in ("survey_match_by_corridor", "survey_match_north"):
+        text = plan(QUERIES[name](spark, SMALL))
+        whole = text[text.index(":- Project"):text.index("\n   +- HashAggregate" if "\n   +- HashAggregate" in text else "\n+- HashAggregate")]
+        joins = [m.start() for m in re.finditer("SortMergeJoin", whole)]
+        assert len(joins) == 2 and "Aggregate" not in whole[:joins[1]]
