@@ -25,6 +25,7 @@ from roadweave.functions import (
     reference_point_to_number,
     round_half_up,
 )
+from roadweave.functions.measures import guarded, quick_guarded, quick_half_up
 
 
 def one(frame, schema, row, column):
@@ -162,3 +163,21 @@ def test_reference_points_beyond_ten_miles(frame):
     assert [tuple(r) for r in shown.collect()] == [
         (" 005+0.500", 5.5, 5.5), (" 005+12.500", 5.5, 17.5), (" 007+100.250", 7.25, 107.25), (" 1234+3.125", 1234.125, 1237.125),
     ]
+
+
+@pytest.mark.parametrize("digits", [0, 3, 4])
+def test_quick_rounding_is_the_plain_one(frame, digits):
+    """Ties, their neighbours, noise, negative zero, large values and nulls among them."""
+    rng = random.Random(7)
+    ties = [(k + 0.5) / 10**digits for k in (0, 1, 2, 5, 1004, 99999, 5 * 10**8, 10**11)]
+    values = [*ties, *(math.nextafter(t, math.inf) for t in ties), *(math.nextafter(t, 0) for t in ties), *(t - 4e-7 / 10**digits for t in ties)]
+    values += [rng.randrange(10**9) / 10**digits for _ in range(200)] + [rng.uniform(0, 10**rng.randrange(-6, 14)) for _ in range(300)]
+    values += [k / 1000 + 1e-10 for k in range(50)] + [0.1 + 0.2, 1e17, 0.0]
+    rows = [(float(v),) for v in values] + [(-float(v),) for v in values] + [(None,)]
+    x = F.col("x")
+    both = frame("x double", rows).select(
+        "x", round_half_up(x, digits).alias("a"), quick_half_up(x, digits).alias("b"),
+        guarded(x, digits).cast("double").alias("c"), quick_guarded(x, digits).alias("d"),
+    ).collect()
+    assert len(both) == len(rows)
+    assert [r for r in both if repr((r.a, r.c)) != repr((r.b, r.d))] == []

@@ -277,6 +277,20 @@ def test_survey_matches(frame):
     assert rows(south.select("corridor_code", "svylength")) == [("C1", 5.0), ("C1", 5.0)]
 
 
+def test_survey_match_south_without_posts(frame):
+    """Rows without a begin or end post match nothing, not each other either; values with noise count as rounded."""
+    survey = frame("frfpost double, trfpost double, seg_length double, coll_set string, lane int, direction string",
+                   [(b, e, 5.0, "a", 1, "I") for b, e in ((1.0004, 2.0004), (None, 2.0), (1.0, None), (None, None), (-0.0001, 2.0))])
+    files = "corridor_code string, corridor_code_rb string, frfpost_short double, trfpost_short double, svylength double"
+    texts = "road_van string, from_descr string, to_descr string, frfpost_short double, trfpost_short double, svylength double"
+    posts = [(1.0 + 2e-13, 2.0, 5.3), (None, 2.0, 5.3), (1.0, None, 5.3), (None, None, 5.3), (1.0, 2.0, None), (0.0, 2.0, 5.3), (-0.0, 2.0, 5.3)]
+    corr = frame(files, [("C1", "C1N", *p) for p in posts])
+    descr = frame(texts, [("v", "f", "t", *p) for p in posts])
+    south = countylines.match_survey_south(survey, corr, descr)
+    shown = south.select("corridor_code", "road_van", "svylength", "frfpost_short", "trfpost_short")
+    assert [repr(r) for r in rows(shown)] == [repr(("C1", "v", 5.0, b, 2.0)) for b in (0.0, 0.0, 0.0, 0.0, 1.0)]
+
+
 # --- laboratory -------------------------------------------------------------------------------------------------
 
 
